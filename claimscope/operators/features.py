@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimscope.functions.columns import col, flag
 from claimscope.functions.order import running_totals
-from claimscope.session import broadcast_if_within, cut_lineage
+from claimscope.session import cut_lineage
 
 # feature -> the input columns it needs
 INPUTS = {
@@ -106,14 +106,14 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def encode_labels(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace text by its code; a value the dictionary lacks gets 0, the first class.
 
-    A column's dictionary is broadcast only when counted small, else that join shuffles.
+    The dictionary is written once; from its size Spark broadcasts it or shuffles that join.
     """
-    dictionary = cut_lineage(dictionary)
+    dictionary = cut_lineage(dictionary, "labels")
     for c in columns:
         codes = dictionary.filter(F.col("feature") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code"))
         df = (
-            df.join(broadcast_if_within(codes), _text(c) == F.col("_value"), "left")
+            df.join(codes, _text(c) == F.col("_value"), "left")
             .withColumn(c, F.coalesce("_code", F.lit(0)))
             .drop("_value", "_code")
         )

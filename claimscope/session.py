@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def get_session(app: str = "claimscope", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,17 +40,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), "claimscope", f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write the rows to the shared folder and read them back.
 
-
-def broadcast_if_within(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint only after counting that ``df`` has at most ``max_rows`` rows.
-
-    Larger inputs come back unhinted, so the join shuffles both sides.
+    They are computed once, survive the loss of any executor, and come back with a known
+    size, from which Spark decides whether a join may broadcast them.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
