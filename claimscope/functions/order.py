@@ -9,53 +9,81 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Half-widths, as shares of all rows, of the brackets around a wanted rank; the last is everything.
+_MARGINS = (5e-5, 5e-4, 5e-3, 1.0)
+_SKETCH_ACCURACY = 100_000
+
+
 def exact_percentiles(
-    df: DataFrame,
-    columns: Mapping[str, Column],
-    probs: Sequence[float],
-    interpolate: bool = True,
-    accuracy: int = 10_000,
+    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], interpolate: bool = True
 ) -> dict[str, list[float | None]]:
     """Exact quantiles of every column, in two passes over ``df``.
 
     A mergeable sketch brackets each wanted rank between two values. The second pass keeps
     single values inside the brackets only and folds all values of a gap between brackets
-    into one counter, before anything is shuffled: a few ten-thousandths of the distinct
-    values travel, whatever the number of rows. The driver sees ``len(columns) * len(probs)``
-    numbers. Nulls and NaN are left out; a column without values gives ``None``. Between
-    neighbours the result is linear, or the lower neighbour without ``interpolate``.
+    into one counter, before anything is shuffled: a ten-thousandth of the distinct values
+    travels, whatever the number of rows. The driver sees ``len(columns) * len(probs)``
+    numbers. Should a rank lie outside its bracket, the pass is repeated with a wider one.
+
+    Nulls and NaN are left out; a column without values gives ``None``. Between neighbours the
+    result is linear, or the lower neighbour without ``interpolate``.
     """
     names = list(columns)
     if not names:
         return {}
     values = df.select(*[F.nanvl(columns[n].cast("double"), F.lit(None)).alias(f"v{i}")
                          for i, n in enumerate(names)])
-    margin = 2.0 / accuracy
-    cuts = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
+    cuts = [min(max(p + sign * m, 0.0), 1.0) for m in _MARGINS for p in probs for sign in (-1, 1)]
     sketch = values.agg(*[
         x for i in range(len(names))
-        for x in (F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", cuts, accuracy).alias(f"c{i}"))
+        for x in (F.count(f"v{i}").alias(f"n{i}"),
+                  F.percentile_approx(f"v{i}", cuts, _SKETCH_ACCURACY).alias(f"c{i}"))
     ]).first()
+    counts = [sketch[f"n{i}"] for i in range(len(names))]
+    wanted = {i: sorted({r for p in probs for r in (floor((n - 1) * p), ceil((n - 1) * p))})
+              for i, n in enumerate(counts) if n}
+
+    # a bracket must span some ranks besides the error of the sketch
+    level = {i: next(k for k, m in enumerate(_MARGINS) if m * counts[i] >= 5 or m == 1.0) for i in wanted}
+    found: dict[tuple[int, int], float] = {}
+    pending = wanted
+    while pending:
+        width = 2 * len(probs)
+        brackets = {}
+        for i in pending:
+            edges = sketch[f"c{i}"][level[i] * width:(level[i] + 1) * width]
+            brackets[i] = _merge([(edges[k], edges[k + 1]) for k in range(0, width, 2)])
+        found |= _values_at(values, brackets, pending)
+        pending = {i: rest for i, ranks in pending.items() if (rest := [r for r in ranks if (i, r) not in found])}
+        level = {i: level[i] + 1 for i in pending}
+
+    out: dict[str, list[float | None]] = {}
+    for i, name in enumerate(names):
+        out[name] = []
+        for p in probs:
+            if i not in wanted:
+                out[name].append(None)
+                continue
+            rank = (counts[i] - 1) * p
+            a, b = found[i, floor(rank)], found[i, ceil(rank)]
+            out[name].append(a + (b - a) * (rank - floor(rank)) if interpolate else a)
+    return out
 
-    cells, wanted = [], []
-    for i in range(len(names)):
-        if not sketch[f"n{i}"]:
-            continue
-        brackets = _merge([tuple(sketch[f"c{i}"][j:j + 2]) for j in range(0, len(cuts), 2)])
+
+def _values_at(
+    values: DataFrame, brackets: Mapping[int, list[tuple[float, float]]], ranks: Mapping[int, list[int]]
+) -> dict[tuple[int, int], float]:
+    """Values at the given ranks of each column, for the ranks that lie inside a bracket."""
+    cells = []
+    for i, spans in brackets.items():
         v = F.col(f"v{i}")
-        at, gap = F.when(v < brackets[0][0], -inf), F.when(v < brackets[0][0], 1)
-        for k, (lo, hi) in enumerate(brackets):
+        at, gap = F.when(v < spans[0][0], -inf), F.when(v < spans[0][0], 1)
+        for k, (lo, hi) in enumerate(spans):
             at, gap = at.when(v <= hi, v), gap.when(v <= hi, 0)
-            if k + 1 < len(brackets):
-                at, gap = at.when(v < brackets[k + 1][0], hi), gap.when(v < brackets[k + 1][0], 1)
-        # nothing above the last bracket is needed for any rank
+            if k + 1 < len(spans):
+                at, gap = at.when(v < spans[k + 1][0], hi), gap.when(v < spans[k + 1][0], 1)
+        # values above the last bracket precede no wanted rank: null, dropped below
         cells.append(F.struct(F.lit(i).alias("name"), at.alias("at"), gap.alias("gap")))
-        for j, p in enumerate(probs):
-            rank = (sketch[f"n{i}"] - 1) * p
-            wanted.append((i, j, floor(rank), ceil(rank)))
-    if not cells:
-        return {n: [None] * len(probs) for n in names}
-
     histogram = (
         values.select(F.inline(F.array(*cells)))
         .filter("at IS NOT NULL")
@@ -65,13 +93,9 @@ def exact_percentiles(
     upto = F.sum("n").over(
         Window.partitionBy("name").orderBy("at", "gap").rowsBetween(Window.unboundedPreceding, 0)
     )
-
-    ranks = sorted({(i, r) for i, _, lo, hi in wanted for r in (lo, hi)})
-    by_name: dict[int, list[int]] = {}
-    for i, r in ranks:
-        by_name.setdefault(i, []).append(r)
-    targets = F.create_map(*[x for i, rs in by_name.items() for x in (F.lit(i), F.array(*[F.lit(r) for r in rs]))])
-    found = (
+    targets = F.create_map(*[
+        x for i, rs in ranks.items() for x in (F.lit(i), F.array(*[F.lit(r).cast("bigint") for r in rs]))])
+    rows = (
         histogram.withColumn("upto", upto)
         .filter("gap = 0")
         .select("name", "at", F.explode(targets[F.col("name")]).alias("rank"), "upto", "n")
@@ -79,12 +103,7 @@ def exact_percentiles(
         .select("name", "rank", "at")
         .collect()
     )
-    value = {(r["name"], r["rank"]): r["at"] for r in found}
-    out: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names}
-    for i, j, lo, hi in wanted:
-        a, b = value[i, lo], value[i, hi]
-        out[names[i]][j] = a + (b - a) * ((sketch[f"n{i}"] - 1) * probs[j] - lo) if interpolate else a
-    return out
+    return {(r["name"], r["rank"]): r["at"] for r in rows}
 
 
 def _merge(brackets: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
