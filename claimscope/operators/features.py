@@ -103,12 +103,14 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return numbered.select("feature", "value", (F.col("one_upto") - 1).cast("int").alias("code"))
 
 
-def encode_labels(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
+def encode_labels(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], stored: bool = False) -> DataFrame:
     """Replace text by its code; a value the dictionary lacks gets 0, the first class.
 
-    The dictionary is written once; from its size Spark broadcasts it or shuffles that join.
+    The dictionary is written once, unless it is ``stored`` already; from its size Spark
+    broadcasts it or shuffles that join.
     """
-    dictionary = cut_lineage(dictionary, "labels")
+    if not stored:
+        dictionary = cut_lineage(dictionary, "labels")
     for c in columns:
         codes = dictionary.filter(F.col("feature") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code"))

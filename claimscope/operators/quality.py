@@ -113,6 +113,12 @@ class CriticalIssue(ValueError):
     """A load must stop."""
 
 
+def require_columns(df: DataFrame, required: Sequence[str]) -> None:
+    lacking = [c for c in required if c not in df.columns]
+    if lacking:
+        raise CriticalIssue(f"Critical validation issues: missing_columns: {', '.join(lacking)}")
+
+
 def quality_gate(report: DataFrame, critical: Sequence[str] = ("missing_columns",)) -> list[tuple[str, str]]:
     """Raise if a critical issue is in the report; return the others as warnings."""
     issues = [(r["issue"], r["message"]) for r in report.select("issue", "message").collect()]
