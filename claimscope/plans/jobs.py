@@ -6,7 +6,6 @@ import os
 import time
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,10 +100,9 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def read_control(spark: SparkSession, path: str) -> dict:
     """The newest control row; blank before the first run."""
-    try:
+    row = None
+    if files.exists(spark, path):
         row = files.read_json(spark, path, CONTROL_SCHEMA).orderBy(F.desc("last_run")).first()
-    except AnalysisException:  # no run has written the folder yet
-        row = None
     return row.asDict() if row else {"last_run": None, "last_row_count": 0, "last_checksum": None}
 
 

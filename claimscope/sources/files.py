@@ -85,6 +85,12 @@ def append_json(df: DataFrame, path: str) -> int:
     return done.get["rows"]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).options(**_EXACT_TIME).json(path)
 
@@ -121,12 +127,14 @@ def verify_snapshot(spark: SparkSession, path: str) -> DataFrame:
     ``row_count`` is the number of rows found, and valid means that it is the number stated.
     """
     blank = "SELECT false AS valid, CAST(NULL AS STRING) AS table, CAST(NULL AS TIMESTAMP_NTZ) AS timestamp, CAST(NULL AS BIGINT) AS row_count"
+    if not exists(spark, os.path.join(path, "data")) or not exists(spark, os.path.join(path, "manifest")):
+        return spark.sql(blank)
     try:
         found = spark.read.schema("value string").text(os.path.join(path, "data")).count()
         stated = spark.read.schema(MANIFEST).options(**_EXACT_TIME).json(os.path.join(path, "manifest"))
         if stated.first() is None:
             return spark.sql(blank)
-    except Exception:  # a missing or damaged folder is the finding
+    except Exception:  # a damaged folder is the finding
         return spark.sql(blank)
     return stated.select((F.col("row_count") == found).alias("valid"), "table", "timestamp", F.lit(found).cast("bigint").alias("row_count"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,30 +11,50 @@ from claimscope.operators.clean import transform_claims
 from claimscope.session import fresh_dir
 from claimscope.sources.relations import RELATIONS, for_spark
 
-_clean_tables: dict[tuple[str, str], str] = {}
+_staged: dict[tuple[str, str, str], str] = {}
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table, or a relation of ``RELATIONS`` as one lazy plan over base tables."""
-    if name not in RELATIONS:
-        return base(spark, sf_dir, name)
-    reads = {r: relation(spark, sf_dir, r) for r in RELATIONS[name][1]}
+def _spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than cores is dealt out over all cores; a larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Written once per application and input folder to the shared folder, then scanned with
+    column pruning and filter pushdown by every query that needs it."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _staged:
+        path = fresh_dir(spark, name)
+        build().write.parquet(path)
+        _staged[key] = path
+    return spark.read.parquet(_staged[key])
+
+
+def _derive(spark: SparkSession, sf_dir: str, name: str, **reads: DataFrame) -> DataFrame:
     return spark.sql(for_spark(name), **reads)
 
 
+def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw claims, standing for the feed the load job reads. They come out of a join, and
+    most queries pass over them more than once, so the join runs once and its rows are stored."""
+    return _stage(spark, sf_dir, "claims_raw", lambda: _derive(
+        spark, sf_dir, "claims_raw", orders=_spread(base(spark, sf_dir, "orders")), customer=base(spark, sf_dir, "customer")))
+
+
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned claims table.
-
-    It is the product of the load job: written once per application and input folder to the
-    shared folder, then scanned with column pruning and filter pushdown by every report.
-    """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _clean_tables:
-        path = fresh_dir(spark, "claims")
-        transform_claims(relation(spark, sf_dir, "claims_raw")).write.parquet(path)
-        _clean_tables[key] = path
-    return spark.read.parquet(_clean_tables[key])
+    """The cleaned claims table, the product of the load job."""
+    return _stage(spark, sf_dir, "claims", lambda: transform_claims(raw_claims(spark, sf_dir)))
+
+
+def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A base table, the raw claims, or another relation of ``RELATIONS`` as one lazy plan."""
+    if name == "claims_raw":
+        return raw_claims(spark, sf_dir)
+    if name not in RELATIONS:
+        return base(spark, sf_dir, name)
+    return _derive(spark, sf_dir, name, **{r: relation(spark, sf_dir, r) for r in RELATIONS[name][1]})
