@@ -10,20 +10,29 @@ from pyspark.sql import functions as F
 
 
 # Half-widths, as shares of all rows, of the brackets around a wanted rank; the last is everything.
-_MARGINS = (5e-5, 5e-4, 5e-3, 1.0)
-_SKETCH_ACCURACY = 100_000
+_MARGINS = (6e-4, 6e-3, 1.0)
+# Size of a sketch; its rank error has a standard deviation near a tenth of the first margin.
+_SKETCH_K = 20_000
+_SKETCH_GROUPS = 256
+# Size of the sketch that cuts range buckets: any cuts are correct, these are even enough.
+_EDGE_K = 1_000
 
 
 def exact_percentiles(
-    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], interpolate: bool = True
+    df: DataFrame,
+    columns: Mapping[str, Column],
+    probs: Sequence[float],
+    interpolate: bool = True,
+    most_inside: int = 5_000_000,
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles of every column, in two passes over ``df``.
+    """Exact quantiles of every column, in two passes over ``df``, three on very large tables.
 
-    A mergeable sketch brackets each wanted rank between two values. The second pass keeps
-    single values inside the brackets only and folds all values of a gap between brackets
-    into one counter, before anything is shuffled: a ten-thousandth of the distinct values
-    travels, whatever the number of rows. The driver sees ``len(columns) * len(probs)``
-    numbers. Should a rank lie outside its bracket, the pass is repeated with a wider one.
+    A mergeable sketch brackets each wanted rank between two values. Where a bracket may still
+    hold more than ``most_inside`` values, a second sketch of the bracket alone narrows it. The
+    last pass keeps single values inside the brackets only and folds all values of a gap between
+    brackets into one counter, before anything is shuffled. A rank found outside its bracket
+    (sketches are approximate) is looked for again in a wider one, so the result is exact.
+    The driver sees a few numbers per column and quantile.
 
     Nulls and NaN are left out; a column without values gives ``None``. Between neighbours the
     result is linear, or the lower neighbour without ``interpolate``.
@@ -33,29 +42,35 @@ def exact_percentiles(
         return {}
     values = df.select(*[F.nanvl(columns[n].cast("double"), F.lit(None)).alias(f"v{i}")
                          for i, n in enumerate(names)])
-    cuts = [min(max(p + sign * m, 0.0), 1.0) for m in _MARGINS for p in probs for sign in (-1, 1)]
-    sketch = values.agg(*[
-        x for i in range(len(names))
-        for x in (F.count(f"v{i}").alias(f"n{i}"),
-                  F.percentile_approx(f"v{i}", cuts, _SKETCH_ACCURACY).alias(f"c{i}"))
-    ]).first()
-    counts = [sketch[f"n{i}"] for i in range(len(names))]
-    wanted = {i: sorted({r for p in probs for r in (floor((n - 1) * p), ceil((n - 1) * p))})
-              for i, n in enumerate(counts) if n}
+    shares = [min(max(p + sign * m, 0.0), 1.0) for m in _MARGINS for p in probs for sign in (-1, 1)]
+    sketches = _sketch(values, {i: (F.col(f"v{i}"), F.lit(0)) for i in range(len(names))}, shares)
+    counts = {i: sketches[i][0] for i in range(len(names))}
+    wanted = {i: sorted({r for p in probs for r in (floor((n - 1) * p), ceil((n - 1) * p))}) for i, n in counts.items() if n}
 
     # a bracket must span some ranks besides the error of the sketch
     level = {i: next(k for k, m in enumerate(_MARGINS) if m * counts[i] >= 5 or m == 1.0) for i in wanted}
+    width = 2 * len(probs)
+
+    def brackets_at(i: int) -> list[tuple[float, float]]:
+        edges = sketches[i][2][level[i] * width:(level[i] + 1) * width]
+        return [(edges[k], edges[k + 1]) for k in range(0, width, 2)]
+
+    spans = {i: brackets_at(i) for i in wanted}
+    large = {i: spans[i] for i in wanted if 2 * _MARGINS[level[i]] * counts[i] > most_inside}
+    if large:
+        spans |= _narrow(values, large, {i: [(counts[i] - 1) * p for p in probs] for i in large})
+
     found: dict[tuple[int, int], float] = {}
     pending = wanted
-    while pending:
-        width = 2 * len(probs)
-        brackets = {}
-        for i in pending:
-            edges = sketch[f"c{i}"][level[i] * width:(level[i] + 1) * width]
-            brackets[i] = _merge([(edges[k], edges[k + 1]) for k in range(0, width, 2)])
-        found |= _values_at(values, brackets, pending)
+    while True:
+        found |= _values_at(values, {i: _merge(spans[i]) for i in pending}, pending) if pending else {}
         pending = {i: rest for i, ranks in pending.items() if (rest := [r for r in ranks if (i, r) not in found])}
-        level = {i: level[i] + 1 for i in pending}
+        if not pending:
+            break
+        for i in pending:
+            if spans[i] == brackets_at(i):
+                level[i] += 1
+            spans[i] = brackets_at(i)
 
     out: dict[str, list[float | None]] = {}
     for i, name in enumerate(names):
@@ -70,6 +85,52 @@ def exact_percentiles(
     return out
 
 
+def _sketch(
+    values: DataFrame, parts: Mapping[int, tuple[Column, Column]], shares: Sequence[float]
+) -> dict[int, tuple[int, int, list[float]]]:
+    """Per part, from its ``(value, count)`` columns: values seen, the count's sum, quantiles.
+
+    Sketches are merged in two steps, so no single task takes in one per input task.
+    """
+    keys = list(parts)
+    rows = values.select(
+        (F.spark_partition_id() % _SKETCH_GROUPS).alias("group"),
+        *[x for j, k in enumerate(keys) for x in (parts[k][0].alias(f"x{j}"), parts[k][1].alias(f"c{j}"))])
+    some = rows.groupBy("group").agg(*[
+        x for j in range(len(keys))
+        for x in (F.kll_sketch_agg_double(f"x{j}", F.lit(_SKETCH_K)).alias(f"k{j}"), F.sum(f"c{j}").alias(f"c{j}"))])
+    merged = some.agg(*[
+        x for j in range(len(keys))
+        for x in (F.kll_merge_agg_double(f"k{j}", F.lit(_SKETCH_K)).alias(f"k{j}"), F.coalesce(F.sum(f"c{j}"), F.lit(0)).alias(f"c{j}"))])
+    seen = merged.withColumns({f"n{j}": F.coalesce(F.kll_sketch_get_n_double(f"k{j}"), F.lit(0)) for j in range(len(keys))})
+    wanted = F.array(*[F.lit(s) for s in shares])
+    row = seen.select(
+        *[x for j in range(len(keys)) for x in (f"n{j}", f"c{j}")],
+        *[F.when(F.col(f"n{j}") > 0, F.kll_sketch_get_quantile_double(f"k{j}", wanted)).alias(f"q{j}")
+          for j in range(len(keys))],
+    ).first()
+    return {k: (row[f"n{j}"], row[f"c{j}"], row[f"q{j}"] or []) for j, k in enumerate(keys)}
+
+
+def _narrow(
+    values: DataFrame, spans: Mapping[int, list[tuple[float, float]]], ranks: Mapping[int, list[float]]
+) -> dict[int, list[tuple[float, float]]]:
+    """Narrower brackets for the given ranks, from a sketch of each bracket's own values."""
+    steps = 200
+    grid = [k / steps for k in range(steps + 1)]
+    out: dict[int, list[tuple[float, float]]] = {}
+    for j in range(max(len(s) for s in spans.values())):
+        parts = {}
+        for i, of_column in spans.items():
+            v, (lo, hi) = F.col(f"v{i}"), of_column[j]
+            parts[i] = (F.when((v >= lo) & (v <= hi), v), F.when(v < lo, 1).otherwise(0))
+        for i, (n, below, edges) in _sketch(values, parts, grid).items():
+            at = (ranks[i][j] - below) / n * steps if n else 0.0
+            lo, hi = min(max(floor(at) - 1, 0), steps), min(max(ceil(at) + 1, 0), steps)
+            out.setdefault(i, []).append((edges[lo], edges[hi]) if n else spans[i][j])
+    return out
+
+
 def _values_at(
     values: DataFrame, brackets: Mapping[int, list[tuple[float, float]]], ranks: Mapping[int, list[int]]
 ) -> dict[tuple[int, int], float]:
@@ -124,8 +185,14 @@ def range_buckets(
 
     ``by`` groups must be few (features, classes); their cut points come to the driver.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    rows = df.groupBy(*by).agg(F.percentile_approx(key, probs, 100 * buckets).alias("cut")).collect()
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    rows = (
+        df.select(*by, key.alias("_x"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("_group"))
+        .groupBy("_group", *by).agg(F.kll_sketch_agg_double("_x", F.lit(_EDGE_K)).alias("_k"))
+        .groupBy(*by).agg(F.kll_merge_agg_double("_k", F.lit(_EDGE_K)).alias("_k"))
+        .select(*by, F.when(F.kll_sketch_get_n_double("_k") > 0, F.kll_sketch_get_quantile_double("_k", probs)).alias("cut"))
+        .collect()
+    )
     out: Column | None = None
     for row in rows:
         tree = _bisect(key, sorted(set(row["cut"] or [])), 0)
