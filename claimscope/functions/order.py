@@ -8,6 +8,8 @@ from math import ceil, floor, inf
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimscope.session import cut_lineage
+
 
 # Half-widths, as shares of all rows, of the brackets around a wanted rank; the last is everything.
 _MARGINS = (6e-4, 6e-3, 1.0)
@@ -181,7 +183,7 @@ def _merge(brackets: Sequence[tuple[float, float]]) -> list[tuple[float, float]]
 def range_buckets(
     df: DataFrame, key: Column, by: Sequence[str] = (), buckets: int = 64
 ) -> Column:
-    """Bucket number of ``key``: ranges cut at approximate percentiles, one set per ``by`` group.
+    """Bucket number of ``key``: how many of the cut points, approximate percentiles, it has passed.
 
     ``by`` groups must be few (features, classes); their cut points come to the driver.
     """
@@ -193,25 +195,15 @@ def range_buckets(
         .select(*by, F.when(F.kll_sketch_get_n_double("_k") > 0, F.kll_sketch_get_quantile_double("_k", probs)).alias("cut"))
         .collect()
     )
-    out: Column | None = None
-    for row in rows:
-        tree = _bisect(key, sorted(set(row["cut"] or [])), 0)
-        if not by:
-            return tree
-        same = F.lit(True)
-        for b in by:
-            same = same & F.col(b).eqNullSafe(F.lit(row[b]))
-        out = F.when(same, tree) if out is None else out.when(same, tree)
-    return out if out is not None else F.lit(0)
-
-
-def _bisect(key: Column, edges: list, start: int) -> Column:
-    if not edges:
-        return F.lit(start)
-    mid = len(edges) // 2
-    return F.when(key < edges[mid], _bisect(key, edges[:mid], start)).otherwise(
-        _bisect(key, edges[mid + 1:], start + mid + 1)
-    )
+    cuts = [F.array(*[F.lit(x).cast("double") for x in sorted(set(row["cut"] or []))]).cast("array<double>") for row in rows]
+    if not rows:
+        return F.lit(0)
+    if not by:
+        edges = cuts[0]
+    else:
+        same = F.create_map(*[x for row, cut in zip(rows, cuts, strict=True) for x in (F.struct(*[F.lit(row[b]).alias(b) for b in by]), cut)])
+        edges = F.try_element_at(same, F.struct(*by))
+    return F.size(F.filter(edges, lambda edge: edge <= key))
 
 
 def running_totals(
@@ -227,7 +219,10 @@ def running_totals(
     ``df`` is already aggregated to one row per ``(by, order)``. ``key`` is a number that grows
     with ``order`` (by default ``order`` itself). Sums run inside range buckets; the totals of
     earlier buckets, at most ``buckets`` rows per group, are joined on. Any cuts give the same sums.
+
+    The rows are stored first: three passes read them, and what they come from runs once.
     """
+    df = cut_lineage(df, "ordered")
     key = (key if key is not None else F.col(order)).cast("double")
     bucketed = df.withColumn("_bucket", range_buckets(df, key, by, buckets))
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])

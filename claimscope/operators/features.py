@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscope.functions.columns import col, flag
+from claimscope.functions.columns import byte_key, col, flag
 from claimscope.functions.order import running_totals
 from claimscope.session import cut_lineage
 
@@ -85,12 +85,6 @@ def _text(column: str) -> Column:
     return F.coalesce(col(column).cast("string"), F.lit("nan"))
 
 
-def _order_key(c: Column) -> Column:
-    """Number that grows with the text: its first six UTF-8 bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
 def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Dictionary ``(feature, value, code)``: sorted distinct values numbered from 0, null as ``nan``.
 
@@ -99,7 +93,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     cells = [F.struct(F.lit(c).alias("feature"), _text(c).alias("value")) for c in columns]
     values = df.select(F.inline(F.array(*cells))).distinct().withColumn("one", F.lit(1))
-    numbered = running_totals(values, "value", ["one"], ["feature"], key=_order_key(F.col("value")))
+    numbered = running_totals(values, "value", ["one"], ["feature"], key=byte_key(F.col("value")))
     return numbered.select("feature", "value", (F.col("one_upto") - 1).cast("int").alias("code"))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscope.functions.columns import col, percent
+from claimscope.functions.columns import byte_key, col, percent
+from claimscope.functions.order import running_totals
 from claimscope.operators.clean import fraud_label
 
 
@@ -70,24 +71,19 @@ def kpis(df: DataFrame) -> DataFrame:
     )
 
 
-def rank_rows(df: DataFrame, value: str, ties: Sequence[str], name: str) -> DataFrame:
-    """Row number over the whole table, ``value`` descending, without a single-task sort.
+def rank_rows(df: DataFrame, value: str, ties: Sequence[str], name: str, step: float = 0.001) -> DataFrame:
+    """Row number over the whole table, ``value`` descending then ``ties``, without a single-task sort.
 
-    ``value`` must have few distinct values (a rounded rate has at most 1001): rows are
-    numbered inside each value, and the count of rows with a greater value is added.
+    ``value`` is a share rounded to ``step``. Rows are dealt to range buckets by value and by the
+    first bytes of the first tie column, so many rows of one value spread out too; numbers run
+    inside a bucket, on top of the sizes of the buckets before. A null value comes last.
     """
-    per_value = df.groupBy(value).agg(F.count("*").alias("_n"))
-    above = Window.orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_value.select(
-        F.col(value).alias("_value"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
-    )
-    inside = Window.partitionBy(value).orderBy(*ties)
-    return (
-        df.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), F.col(value).eqNullSafe(F.col("_value")))
-        .withColumn(name, (F.col("_above") + F.col("_inside")).cast("bigint"))
-        .drop("_inside", "_value", "_above")
-    )
+    levels = F.coalesce(F.round((1 - F.col(value)) / step), F.lit(round(1 / step) + 1))
+    key = levels * F.lit(2.0**40) + byte_key(F.col(ties[0]), 5)
+    order = F.struct(F.coalesce(-F.col(value), F.lit(float("inf"))).alias("v"), *ties)
+    numbered = df.withColumns({"_order": order, "_key": key, "_one": F.lit(1).cast("bigint")})
+    ranked = running_totals(numbered, "_order", ["_one"], key=F.col("_key"))
+    return ranked.withColumnRenamed("_one_upto", name).drop("_order", "_key", "_one")
 
 
 def risk_band(rate: Column) -> Column:

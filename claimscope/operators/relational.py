@@ -44,7 +44,9 @@ def union_keys(processed: DataFrame, new: DataFrame) -> DataFrame:
 
 def skip_processed(df: DataFrame, processed: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the processed keys."""
-    return df.join(processed.select(col(key)), key, "left_anti").select(*[col(c) for c in df.columns])
+    # repeats of a processed key fall away before the shuffle
+    keys = processed.select(col(key)).distinct()
+    return df.join(keys, key, "left_anti").select(*[col(c) for c in df.columns])
 
 
 def max_watermark(processed: DataFrame, key: str) -> DataFrame:
