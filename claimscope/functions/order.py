@@ -12,12 +12,15 @@ from claimscope.session import cut_lineage
 
 
 # Half-widths, as shares of all rows, of the brackets around a wanted rank; the last is everything.
-_MARGINS = (6e-4, 6e-3, 1.0)
-# Size of a sketch; its rank error has a standard deviation near a tenth of the first margin.
-_SKETCH_K = 20_000
+_MARGINS = (3e-3, 3e-2, 1.0)
+# Size of a sketch (some 60 kB); its rank error is mostly within a third of the first margin.
+_SKETCH_K = 4_000
+# First-step mergers of sketches: a task's sketch goes to one of these, not all to one task.
 _SKETCH_GROUPS = 256
-# Size of the sketch that cuts range buckets: any cuts are correct, these are even enough.
-_EDGE_K = 1_000
+_NARROW_STEPS = 200
+# Rows a range bucket should hold, and the most buckets.
+_BUCKET_ROWS = 2_000_000
+_MOST_BUCKETS = 1_024
 
 
 def exact_percentiles(
@@ -27,11 +30,10 @@ def exact_percentiles(
     interpolate: bool = True,
     most_inside: int = 5_000_000,
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles of every column, in two passes over ``df``, three on very large tables.
+    """Exact quantiles of every column, in two passes over ``df``, more on very large tables.
 
-    A mergeable sketch brackets each wanted rank between two values. Where a bracket may still
-    hold more than ``most_inside`` values, a second sketch of the bracket alone narrows it. The
-    last pass keeps single values inside the brackets only and folds all values of a gap between
+    A mergeable sketch brackets each wanted rank between two values. While a bracket may still
+    hold more than ``most_inside`` values, a sketch of the bracket alone narrows it. The last pass keeps single values inside the brackets only and folds all values of a gap between
     brackets into one counter, before anything is shuffled. A rank found outside its bracket
     (sketches are approximate) is looked for again in a wider one, so the result is exact.
     The driver sees a few numbers per column and quantile.
@@ -58,9 +60,15 @@ def exact_percentiles(
         return [(edges[k], edges[k + 1]) for k in range(0, width, 2)]
 
     spans = {i: brackets_at(i) for i in wanted}
-    large = {i: spans[i] for i in wanted if 2 * _MARGINS[level[i]] * counts[i] > most_inside}
-    if large:
-        spans |= _narrow(values, large, {i: [(counts[i] - 1) * p for p in probs] for i in large})
+    inside = {i: 2 * _MARGINS[level[i]] * counts[i] for i in wanted}
+    for _ in range(4):
+        large = {i: spans[i] for i in wanted if inside[i] > most_inside and any(lo < hi for lo, hi in spans[i])}
+        if not large:
+            break
+        narrowed = _narrow(values, large, {i: [(counts[i] - 1) * p for p in probs] for i in large})
+        # brackets that do not shrink hold a few values many times over: little is left to count
+        inside |= {i: inside[i] * 3 / _NARROW_STEPS if narrowed[i] != spans[i] else 0 for i in large}
+        spans |= narrowed
 
     found: dict[tuple[int, int], float] = {}
     pending = wanted
@@ -118,7 +126,7 @@ def _narrow(
     values: DataFrame, spans: Mapping[int, list[tuple[float, float]]], ranks: Mapping[int, list[float]]
 ) -> dict[int, list[tuple[float, float]]]:
     """Narrower brackets for the given ranks, from a sketch of each bracket's own values."""
-    steps = 200
+    steps = _NARROW_STEPS
     grid = [k / steps for k in range(steps + 1)]
     out: dict[int, list[tuple[float, float]]] = {}
     for j in range(max(len(s) for s in spans.values())):
@@ -187,11 +195,11 @@ def range_buckets(
 
     ``by`` groups must be few (features, classes); their cut points come to the driver.
     """
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    probs, size = F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 1_000 + 8 * buckets
     rows = (
         df.select(*by, key.alias("_x"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("_group"))
-        .groupBy("_group", *by).agg(F.kll_sketch_agg_double("_x", F.lit(_EDGE_K)).alias("_k"))
-        .groupBy(*by).agg(F.kll_merge_agg_double("_k", F.lit(_EDGE_K)).alias("_k"))
+        .groupBy("_group", *by).agg(F.kll_sketch_agg_double("_x", F.lit(size)).alias("_k"))
+        .groupBy(*by).agg(F.kll_merge_agg_double("_k", F.lit(size)).alias("_k"))
         .select(*by, F.when(F.kll_sketch_get_n_double("_k") > 0, F.kll_sketch_get_quantile_double("_k", probs)).alias("cut"))
         .collect()
     )
@@ -211,18 +219,20 @@ def running_totals(
     order: str,
     sums: Sequence[str],
     by: Sequence[str] = (),
-    buckets: int = 64,
+    buckets: int | None = None,
     key: Column | None = None,
 ) -> DataFrame:
     """Add ``<name>_upto``: the sum of ``name`` over rows ordered up to and including this one.
 
     ``df`` is already aggregated to one row per ``(by, order)``. ``key`` is a number that grows
-    with ``order`` (by default ``order`` itself). Sums run inside range buckets; the totals of
-    earlier buckets, at most ``buckets`` rows per group, are joined on. Any cuts give the same sums.
+    with ``order`` (by default ``order`` itself). Sums run inside range buckets, more of them the
+    more rows there are; the totals of earlier buckets, one row each, are joined on. Any cuts give the same sums.
 
     The rows are stored first: three passes read them, and what they come from runs once.
     """
     df = cut_lineage(df, "ordered")
+    if buckets is None:
+        buckets = min(max(df.count() // _BUCKET_ROWS, 64), _MOST_BUCKETS)
     key = (key if key is not None else F.col(order)).cast("double")
     bucketed = df.withColumn("_bucket", range_buckets(df, key, by, buckets))
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])

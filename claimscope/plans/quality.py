@@ -146,13 +146,13 @@ def contract_validate(spark, sf_dir):
 
 
 @query("contract_enrich", f"""SELECT policy_number, incident_date, CASE WHEN error IS NULL THEN 1 ELSE 0 END AS valid,
-  CASE WHEN error IS NULL THEN [] ELSE [error] END AS errors, incident_date AS validated_at,
+  coalesce(error, '') AS errors, incident_date AS validated_at,
   CASE WHEN error IS NULL THEN incident_date END AS "timestamp"
   FROM (SELECT policy_number, incident_date, {_ERROR_SQL} AS error FROM claims_raw)""", ["claims_raw"])
 def contract_enrich(spark, sf_dir):
     """Stamped with the incident date here, so the result is repeatable."""
     out = contract.enrich_records(raw(spark, sf_dir), at=F.col("incident_date"))
-    return out.select("policy_number", "incident_date", "valid", "errors", "validated_at", "timestamp")
+    return out.select("policy_number", "incident_date", "valid", F.array_join("errors", "; ").alias("errors"), "validated_at", "timestamp")
 
 
 def _schema_rows() -> str:
