@@ -25,11 +25,11 @@ def r2(names, digits=2):
 @query("profile_numeric", " UNION ALL ".join(
     f"""SELECT '{c}' AS feature, {rounded(f'avg({quoted(c)})', 2)} AS mean, {rounded(f'stddev_samp({quoted(c)})', 2)} AS std,
     min({quoted(c)})::DOUBLE AS "min", max({quoted(c)})::DOUBLE AS "max", """ + ", ".join(
-        rounded(f"quantile_cont(CAST({quoted(c)} AS DOUBLE), {p})", 4) + f" AS q{n}" for n, p in ((25, 0.25), (50, 0.5), (75, 0.75)))
+        rounded(f"quantile_cont(CAST({quoted(c)} AS DOUBLE), {p})", 6) + f" AS q{n}" for n, p in ((25, 0.25), (50, 0.5), (75, 0.75)))
     + " FROM claims_raw" for c in NUMERIC_COLUMNS), ["claims_raw"])
 def profile_numeric(spark, sf_dir):
     out = drift.profile_numeric(relation(spark, sf_dir, "claims_raw"), NUMERIC_COLUMNS)
-    return out.select("feature", *r2(["mean", "std"]), "min", "max", *r2(["q25", "q50", "q75"], 4))
+    return out.select("feature", *r2(["mean", "std"]), "min", "max", *r2(["q25", "q50", "q75"], 6))
 
 
 @query("profile_categorical", " UNION ALL ".join(
