@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimscope.functions.columns import col, strip, title_case
+from claimscope.functions.columns import col
 from claimscope.operators import clean
-from claimscope.plans.registry import FILLED_SQL, query, quoted, title_sql
+from claimscope.plans.registry import query, quoted, title_sql
 from claimscope.schema import (
     BROWSER_COLUMNS, FINAL_COLUMNS, NUMERIC_COLUMNS, READ_NUMERIC, STRING_COLUMNS,
 )

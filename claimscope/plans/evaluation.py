@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimscope.operators import evaluate, rates
+from claimscope.operators import evaluate, model, rates
 from claimscope.plans.registry import define, query, rounded
 from claimscope.schema import ENGINEERED_FEATURES, FINAL_COLUMNS
 from claimscope.sources.tables import claims, relation
@@ -104,8 +104,7 @@ def band_risk(spark, sf_dir):
 @query("indicator_values", """SELECT policy_number, CASE WHEN bodily_injuries > 0 AND witnesses = 0 THEN 1 ELSE 0 END AS no_witness_injury,
   total_claim_amount / (policy_annual_premium + 1) AS claim_to_premium_ratio, incident_severity, total_claim_amount FROM claims""", ["claims"])
 def indicator_values(spark, sf_dir):
-    from claimscope.operators.model import indicators
-    return claims(spark, sf_dir).select("policy_number", indicators().alias("key_features")).select("policy_number", "key_features.*")
+    return claims(spark, sf_dir).select("policy_number", model.indicators().alias("key_features")).select("policy_number", "key_features.*")
 
 
 define("hashed", """SELECT policy_number, incident_date, label,

@@ -1,4 +1,4 @@
-"""Source, sink, load, stream and model queries. Each writes to its own folder and reads back."""
+"""Source, sink, load and stream queries. Each writes to its own folder and reads back."""
 
 from __future__ import annotations
 
@@ -8,12 +8,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from claimscope import schema as S
-from claimscope.functions.columns import col, to_number
-from claimscope.operators import evaluate, features, model, rates, relational, sampling
-from claimscope.operators.clean import fit_medians, numeric_columns, transform_claims
+from claimscope.functions.columns import col
+from claimscope.operators import evaluate, relational, sampling
+from claimscope.operators.clean import fit_medians
 from claimscope.plans import jobs
-from claimscope.plans.registry import define, query, quoted, rounded
-from claimscope.session import cut_lineage, fresh_dir
+from claimscope.plans.registry import CLAIMS_SQL, FILLED_SQL, define, query, quoted, rounded
+from claimscope.session import fresh_dir
 from claimscope.sources import files
 from claimscope.sources.tables import claims, relation
 from claimscope.streaming import ingest
@@ -218,7 +218,6 @@ define("early_medians", "SELECT " + ", ".join(f"quantile_cont(CAST({quoted(c)} A
 
 def _loaded_sql() -> str:
     """Cleaned rows under the medians of the first load; later keys that were loaded before stay out."""
-    from claimscope.plans.registry import CLAIMS_SQL, FILLED_SQL
     filled = FILLED_SQL.replace("FROM medians m", "FROM early_medians m")
     return CLAIMS_SQL.replace("FROM filled", f"""FROM ({filled} WHERE {_EARLY.replace('incident_date', 'r.incident_date')}
       OR r.policy_number NOT IN (SELECT policy_number FROM claims_raw WHERE {_EARLY})) filled""")
@@ -246,7 +245,6 @@ _CONTRACT_OK = """(policy_state = '' OR policy_state IN ('OH', 'IN', 'IL', 'PA',
 
 
 def _accepted_sql() -> str:
-    from claimscope.plans.registry import CLAIMS_SQL, FILLED_SQL
     return CLAIMS_SQL.replace("FROM filled", f"FROM ({FILLED_SQL} WHERE {_CONTRACT_OK.replace('age,', 'r.age,')}) filled")
 
 
