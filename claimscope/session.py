@@ -23,15 +23,24 @@ def get_session(app: str = "claimscope", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_own_root: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only where that is unset (tests on one machine) a temporary folder stands in for it.
+    Only a session on one machine (master ``local``) may leave it unset; one temporary folder per application then
+    stands in for it. On a cluster a missing setting is an error, not a reason to use some machine's disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="claimscope-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        key = context.applicationId
+        if key not in _own_root:
+            _own_root[key] = tempfile.mkdtemp(prefix="claimscope-")
+        root = _own_root[key]
     return root.rstrip("/")
 
 
