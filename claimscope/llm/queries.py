@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimscope.llm.common import table
 from claimscope.llm.exact_dedup import exact_dedup
+from claimscope.llm.line_dedup import dedup_lines
 from claimscope.llm.mixing import mix
+from claimscope.llm.packing import pack
 from claimscope.llm.sharding import hilbert_shards
 
 
@@ -78,6 +80,40 @@ FROM ranked r LEFT JOIN gaps g ON r.source IS NOT DISTINCT FROM g.s LEFT JOIN ex
 """
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+  FROM documents),
+keyed AS (
+  SELECT doc_id, n, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM cut),
+shared AS (SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) <> max(doc_id)),
+marked AS (
+  SELECT k.doc_id, k.n, k.line, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY n), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shards(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -87,9 +123,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
 SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op6_mixing": OP6_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
