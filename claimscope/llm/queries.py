@@ -8,10 +8,15 @@ from claimscope.llm.common import table
 from claimscope.llm.exact_dedup import exact_dedup
 from claimscope.llm.line_dedup import dedup_lines
 from claimscope.llm.mixing import mix
+from claimscope.llm.near_dedup import near_dedup
 from claimscope.llm.packing import pack
 from claimscope.llm.sharding import hilbert_shards
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -121,6 +126,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op6_mixing": op6_mixing,
     "op8_line_dedup": op8_line_dedup,
