@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from claimscope.llm.chat import format_records, read_back, records_of
 from claimscope.llm.common import table
 from claimscope.llm.exact_dedup import exact_dedup
 from claimscope.llm.line_dedup import dedup_lines
 from claimscope.llm.mixing import mix
 from claimscope.llm.near_dedup import near_dedup
 from claimscope.llm.packing import pack
+from claimscope.llm.secrets import secret_scan
 from claimscope.llm.sharding import hilbert_shards
+from claimscope.llm.topk import top_k
+from claimscope.llm.toxicity import held_out, learn, score_toxicity
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +32,32 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256::DOUBLE * CAST(c AS DOUBLE)) for c in embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -85,6 +115,15 @@ FROM ranked r LEFT JOIN gaps g ON r.source IS NOT DISTINCT FROM g.s LEFT JOIN ex
 """
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as records with a list of turns, and conversation -1 as a record of prompt and response."""
+    records = records_of(table(spark, sf_dir, "conversations"))
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.to_json(F.struct(
+        F.lit(said).alias("prompt"), F.lit(said).alias("response"))).alias("record"))
+    return read_back(format_records(records.unionByName(extra)))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -128,13 +167,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_chat_format": op7_chat_format,
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
 SQL = {
     "op2_exact_dedup": OP2_SQL,
+    "op4_exact_top_k": OP4_SQL,
     "op6_mixing": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
 }
