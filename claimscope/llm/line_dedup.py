@@ -230,11 +230,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document too. Columns ``n_lines`` and ``n_dropped`` of the input are replaced; any other column is handed through.
     """
     surplus = LineIndex.of(docs, id_col, text_col).surplus()
-    gone = surplus.groupBy("doc").agg(F.collect_list("k1").alias("_gone")).withColumnRenamed("doc", "_doc")
-    rows = docs.drop("n_lines", "n_dropped").withColumn("_key", _identity(id_col))
-    rows = rows.join(gone, F.col("_key") == F.col("_doc"), "left").drop("_key", "_doc")
-    names = rows.columns[:-1]
+    gone = surplus.groupBy("doc").agg(F.collect_list("k1").alias("_gone"))
+    kept = docs.drop("n_lines", "n_dropped")
+    names = kept.columns
     at = names.index(text_col)
+    rows = kept.toDF(*[f"c{i}" for i in range(len(names))])  # no name of the input can meet one of the join
+    rows = rows.withColumn("_key", _identity(f"c{names.index(id_col)}"))
+    rows = rows.join(gone, F.col("_key") == F.col("doc"), "left").drop("_key", "doc")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,6 +261,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, [*names, "n_lines", "n_dropped"])
 
-    schema = StructType([StructField(f.name, f.dataType, True) for f in rows.schema.fields[:-1]]
-                        + [StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    schema = StructType([StructField(f.name, f.dataType, True) for f in kept.schema.fields] + [
+                         StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     return rows.mapInArrow(keep, schema)

@@ -180,9 +180,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
        links that connect something new are looked for and handed on, so big groups of copies stay cheap.
     4. Components of the links are the result.
 
-    Texts without words have an empty set, are linked with nothing and stay. Null texts count as such. Rows that
-    repeat an id are one document with several texts, and rows without an id are one document that comes after all
-    others (its component may be null). Other columns are not read. An empty table gives an empty result.
+    Texts without words have an empty set, are linked with nothing and stay. Null texts count as such. Rows without an
+    id share one, which comes after all others; it is shown as null. Each row follows its own text, so rows that repeat
+    an id may differ in their component; two texts with the same smallest holder count as linked. Other columns are not
+    read. An empty table gives an empty result.
     """
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("doc"), F.col(f"`{text_col}`").alias("text"))
     rows = stored(texts.mapInArrow(_sketched(shingle), "doc long, n long, s1 long, s2 long, sketch binary"), "near-sketches")
@@ -208,7 +209,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = stored(spread.mapInArrow(_resolved(shingle, percent), "a long, b long"), "near-links")
 
     linked = components(found)
-    out = mapped.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    out = mapped.join(linked, "node", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc")))
     shown = [F.when(F.col(c) != _LAST, F.col(c)) for c in ("doc", "component")]
     return out.select(shown[0].alias(id_col), F.col("n").alias("n_shingles"), shown[1].alias("component_id"),
                       (F.col("doc") == F.col("component")).alias("kept"))
