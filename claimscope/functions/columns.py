@@ -70,12 +70,6 @@ def percent(part: Column, whole: Column, scale: float, digits: int) -> Column:
     return F.round(F.try_divide(part.cast("double") * F.lit(float(scale)), whole.cast("double")), digits)
 
 
-def byte_key(c: Column, width: int = 6) -> Column:
-    """Number that grows with the text: its first ``width`` (at most 6) UTF-8 bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.coalesce(c, F.lit("")), "utf-8"), 1, width)), 2 * width, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
 def hash_unit(key: Column, seed: int) -> Column:
     """Repeatable number in [0, 1) from a key: 52 bits of an MD5, the same on every engine."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))

@@ -18,9 +18,6 @@ _SKETCH_K = 4_000
 # First-step mergers of sketches: a task's sketch goes to one of these, not all to one task.
 _SKETCH_GROUPS = 256
 _NARROW_STEPS = 200
-# Rows a range bucket should hold, and the most buckets.
-_BUCKET_ROWS = 2_000_000
-_MOST_BUCKETS = 1_024
 
 
 def exact_percentiles(
@@ -59,17 +56,25 @@ def exact_percentiles(
         edges = sketches[i][2][level[i] * width:(level[i] + 1) * width]
         return [(edges[k], edges[k + 1]) for k in range(0, width, 2)]
 
-    spans = {i: brackets_at(i) for i in wanted}
-    inside = {i: 2 * _MARGINS[level[i]] * counts[i] for i in wanted}
-    for _ in range(4):
-        large = {i: spans[i] for i in wanted if inside[i] > most_inside and any(lo < hi for lo, hi in spans[i])}
-        if not large:
-            break
-        narrowed = _narrow(values, large, {i: [(counts[i] - 1) * p for p in probs] for i in large})
-        # brackets that do not shrink hold a few values many times over: little is left to count
-        inside |= {i: inside[i] * 3 / _NARROW_STEPS if narrowed[i] != spans[i] else 0 for i in large}
-        spans |= narrowed
-
+    spans: dict[int, list[tuple[float, float]]] = {}
+    misses = dict.fromkeys(wanted, 0)
+
+    def tighten(columns: Sequence[int]) -> None:
+        """Brackets of the columns' level, narrowed until few values can be inside. A column that was missed before keeps
+        more room on either side of each narrowed bracket."""
+        spans.update({i: brackets_at(i) for i in columns})
+        inside = {i: 2 * _MARGINS[level[i]] * counts[i] for i in columns}
+        for _ in range(6):
+            large = {i: spans[i] for i in columns if inside[i] > most_inside and any(lo < hi for lo, hi in spans[i])}
+            if not large:
+                return
+            room = {i: 4 ** misses[i] for i in large}
+            narrowed = _narrow(values, large, {i: [(counts[i] - 1) * p for p in probs] for i in large}, room)
+            # brackets that do not shrink hold a few values many times over: little is left to count
+            inside.update({i: inside[i] * (1 + 2 * room[i]) / _NARROW_STEPS if narrowed[i] != spans[i] else 0 for i in large})
+            spans.update(narrowed)
+
+    tighten(list(wanted))
     found: dict[tuple[int, int], float] = {}
     pending = wanted
     while True:
@@ -78,9 +83,11 @@ def exact_percentiles(
         if not pending:
             break
         for i in pending:
-            if spans[i] == brackets_at(i):
-                level[i] += 1
-            spans[i] = brackets_at(i)
+            if spans[i] == brackets_at(i) or misses[i] > 1:
+                level[i], misses[i] = min(level[i] + 1, len(_MARGINS) - 1), 0
+            else:
+                misses[i] += 1
+        tighten(list(pending))
 
     out: dict[str, list[float | None]] = {}
     for i, name in enumerate(names):
@@ -100,11 +107,13 @@ def _sketch(
 ) -> dict[int, tuple[int, int, list[float]]]:
     """Per part, from its ``(value, count)`` columns: values seen, the count's sum, quantiles.
 
-    Sketches are merged in two steps, so no single task takes in one per input task.
+    Sketches are merged in steps of at most ``_SKETCH_GROUPS`` groups, so no single task takes in one per input task:
+    as many groups at first as the root of the number of input tasks asks for.
     """
     keys = list(parts)
+    groups = max(_SKETCH_GROUPS, ceil(values.rdd.getNumPartitions() ** 0.5))
     rows = values.select(
-        (F.spark_partition_id() % _SKETCH_GROUPS).alias("group"),
+        (F.spark_partition_id() % groups).alias("group"),
         *[x for j, k in enumerate(keys) for x in (parts[k][0].alias(f"x{j}"), parts[k][1].alias(f"c{j}"))])
     some = rows.groupBy("group").agg(*[
         x for j in range(len(keys))
@@ -123,7 +132,8 @@ def _sketch(
 
 
 def _narrow(
-    values: DataFrame, spans: Mapping[int, list[tuple[float, float]]], ranks: Mapping[int, list[float]]
+    values: DataFrame, spans: Mapping[int, list[tuple[float, float]]], ranks: Mapping[int, list[float]],
+    room: Mapping[int, int],
 ) -> dict[int, list[tuple[float, float]]]:
     """Narrower brackets for the given ranks, from a sketch of each bracket's own values."""
     steps = _NARROW_STEPS
@@ -136,7 +146,7 @@ def _narrow(
             parts[i] = (F.when((v >= lo) & (v <= hi), v), F.when(v < lo, 1).otherwise(0))
         for i, (n, below, edges) in _sketch(values, parts, grid).items():
             at = (ranks[i][j] - below) / n * steps if n else 0.0
-            lo, hi = min(max(floor(at) - 1, 0), steps), min(max(ceil(at) + 1, 0), steps)
+            lo, hi = min(max(floor(at) - room[i], 0), steps), min(max(ceil(at) + room[i], 0), steps)
             out.setdefault(i, []).append((edges[lo], edges[hi]) if n else spans[i][j])
     return out
 
@@ -188,67 +198,26 @@ def _merge(brackets: Sequence[tuple[float, float]]) -> list[tuple[float, float]]
     return out
 
 
-def range_buckets(
-    df: DataFrame, key: Column, by: Sequence[str] = (), buckets: int = 64
-) -> Column:
-    """Bucket number of ``key``: how many of the cut points, approximate percentiles, it has passed.
-
-    ``by`` groups must be few (features, classes); their cut points come to the driver.
-    """
-    probs, size = F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 1_000 + 8 * buckets
-    rows = (
-        df.select(*by, key.alias("_x"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("_group"))
-        .groupBy("_group", *by).agg(F.kll_sketch_agg_double("_x", F.lit(size)).alias("_k"))
-        .groupBy(*by).agg(F.kll_merge_agg_double("_k", F.lit(size)).alias("_k"))
-        .select(*by, F.when(F.kll_sketch_get_n_double("_k") > 0, F.kll_sketch_get_quantile_double("_k", probs)).alias("cut"))
-        .collect()
-    )
-    cuts = [F.array(*[F.lit(x).cast("double") for x in sorted(set(row["cut"] or []))]).cast("array<double>") for row in rows]
-    if not rows:
-        return F.lit(0)
-    if not by:
-        edges = cuts[0]
-    else:
-        same = F.create_map(*[x for row, cut in zip(rows, cuts, strict=True) for x in (F.struct(*[F.lit(row[b]).alias(b) for b in by]), cut)])
-        edges = F.try_element_at(same, F.struct(*by))
-    return F.size(F.filter(edges, lambda edge: edge <= key))
-
-
-def running_totals(
-    df: DataFrame,
-    order: str,
-    sums: Sequence[str],
-    by: Sequence[str] = (),
-    buckets: int | None = None,
-    key: Column | None = None,
-) -> DataFrame:
+def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Add ``<name>_upto``: the sum of ``name`` over rows ordered up to and including this one.
 
-    ``df`` is already aggregated to one row per ``(by, order)``. ``key`` is a number that grows
-    with ``order`` (by default ``order`` itself). Sums run inside range buckets, more of them the
-    more rows there are; the totals of earlier buckets, one row each, are joined on. Any cuts give the same sums.
-
-    The rows are stored first: three passes read them, and what they come from runs once.
+    ``df`` is already aggregated to one row per ``(by, order)``. Rows go to even ranges of ``(by, order)`` themselves,
+    cut at sampled values, and are stored; sums run inside a range, and the totals of earlier ranges, one row each, are
+    joined on. The number of ranges is that of the shuffle, so it grows with the cluster's setting and not with the keys.
     """
-    df = cut_lineage(df, "ordered")
-    if buckets is None:
-        buckets = min(max(df.count() // _BUCKET_ROWS, 64), _MOST_BUCKETS)
-    key = (key if key is not None else F.col(order)).cast("double")
-    bucketed = df.withColumn("_bucket", range_buckets(df, key, by, buckets))
-    totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.repartitionByRange(*by, order).withColumn("_range", F.spark_partition_id())
+    placed = cut_lineage(placed, "ordered")
+    totals = placed.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(b).alias(f"_by_{b}") for b in by],
-        F.col("_bucket").alias("_at"),
-        *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums],
-    )
-    on = F.col("_bucket") == F.col("_at")
+        *[F.col(b).alias(f"_by_{b}") for b in by], F.col("_range").alias("_at"),
+        *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums])
+    on = F.col("_range") == F.col("_at")
     for b in by:
         on = on & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    inner = Window.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        bucketed.withColumns({f"_r_{s}": F.sum(s).over(inner) for s in sums})
-        .join(F.broadcast(offsets), on)
+        placed.withColumns({f"_r_{s}": F.sum(s).over(inner) for s in sums}).join(offsets, on)
         .select(*df.columns, *[(F.col(f"_r_{s}") + F.col(f"_o_{s}")).alias(f"{s}_upto") for s in sums])
     )
 

@@ -20,32 +20,47 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
     return F.when(z < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
-def chi_square_pvalue(statistic: Column, df: Column, terms: int = 1000) -> Column:
-    """Upper tail of the chi-square distribution: 1 - P(df/2, statistic/2) by its power series."""
+# Coefficients of the asymptotic series of ln gamma(a + 1) - (a + 1/2) ln a + a - ln(2 pi) / 2 in 1 / a.
+_STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680)
+
+
+def _log_front(a: Column, x: Column, odd: Column) -> Column:
+    """ln of x^a e^-x / gamma(a + 1), for whole and half-whole ``a``, without losing digits where a and x are large and close."""
+    small = F.when(odd, F.lit(0.5 * math.log(math.pi))).otherwise(F.lit(0.0)) + F.aggregate(
+        F.sequence(F.lit(0), F.least(a, F.lit(30.0)).cast("int")), F.lit(0.0),
+        lambda acc, j: acc + F.when(odd, F.ln(j + F.lit(0.5))).when(j > 0, F.ln(j.cast("double"))).otherwise(F.lit(0.0)))
+    t = (x - a) / a
+    series = sum((F.lit(c) / F.pow(a, F.lit(2.0 * k + 1)) for k, c in enumerate(_STIRLING)), F.lit(0.0))
+    large = a * (F.log1p(t) - t) - F.lit(0.5) * F.ln(F.lit(2 * math.pi) * a) - series
+    return F.when(a < 30, a * F.ln(x) - x - small).otherwise(large)
+
+
+def chi_square_pvalue(statistic: Column, df: Column) -> Column:
+    """Upper tail of the chi-square distribution with a whole number of degrees of freedom.
+
+    Below the middle it is one less the power series of the lower tail, above it the continued fraction of the upper
+    tail, which keeps its digits however small it is. Both run for as many terms as the degrees of freedom need.
+    """
     a, x = df / F.lit(2.0), statistic / F.lit(2.0)
-    half_steps = (df.cast("int") / 2).cast("int")
-    odd = df.cast("int") % 2 == 1
-    # ln gamma(a + 1) for whole and half-whole a, from gamma(1) = 1 and gamma(1/2) = sqrt(pi)
-    log_gamma = F.when(odd, F.lit(0.5 * math.log(math.pi))).otherwise(F.lit(0.0)) + F.aggregate(
-        F.sequence(F.lit(0), half_steps),
-        F.lit(0.0),
-        lambda acc, j: acc
-        + F.when(odd, F.ln(j + F.lit(0.5))).when(j > 0, F.ln(j.cast("double"))).otherwise(F.lit(0.0)),
-    )
-    first = F.exp(a * F.ln(x) - x - log_gamma)
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)),
-        F.struct(first.alias("term"), first.alias("total")),
-        lambda acc, n: F.struct(
-            (acc["term"] * x / (a + n)).alias("term"),
-            (acc["total"] + acc["term"] * x / (a + n)).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    far = x > a + 60.0 + 10.0 * F.sqrt(a)
+    front = F.exp(_log_front(a, x, df.cast("int") % 2 == 1))
+    terms = F.sequence(F.lit(1), (F.lit(20.0) * F.sqrt(a) + 100).cast("int"))
+    lower = F.aggregate(
+        terms, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
+        lambda acc, n: F.struct((acc["term"] * x / (a + n)).alias("term"), (acc["total"] + acc["term"] * x / (a + n)).alias("total")),
+        lambda acc: acc["total"])
+    b = x + 1 - a
+
+    def step(acc: Column, i: Column) -> Column:
+        part = -i * (i - a)
+        bottom = b + 2 * i
+        d = F.lit(1.0) / (part * acc["d"] + bottom)
+        c = bottom + part / acc["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (acc["h"] * c * d).alias("h"))
+
+    upper = F.aggregate(terms, F.struct(F.lit(1e300).alias("c"), (F.lit(1.0) / b).alias("d"), (F.lit(1.0) / b).alias("h")), step, lambda acc: acc["h"])
     return (
         F.when(df < 1, F.lit(None).cast("double"))
         .when(statistic <= 0, F.lit(1.0))
-        .when(far, F.lit(0.0))
-        .otherwise(F.greatest(F.lit(1.0) - series, F.lit(0.0)))
+        .when(x > a + 1, F.least(front * a * upper, F.lit(1.0)))
+        .otherwise(F.greatest(F.lit(1.0) - front * lower, F.lit(0.0)))
     )

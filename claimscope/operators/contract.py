@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimscope.functions.columns import col, to_number
-from claimscope.schema import CONTRACT_NUMERIC, CONTRACT_REQUIRED, CONTRACTS, RAW_VALUES
+from claimscope.functions.columns import col
+from claimscope.schema import CONTRACT_ENUMS, CONTRACT_NUMERIC, CONTRACT_REQUIRED, CONTRACTS, RAW_VALUES
 
 
 def contract_error(df: DataFrame, version: str = "v1") -> Column:
@@ -28,8 +28,10 @@ def contract_error(df: DataFrame, version: str = "v1") -> Column:
     for field in CONTRACT_NUMERIC:
         if field in df.columns:
             c = col(field)
-            checks.append(F.when(c.isNotNull() & to_number(c).isNull(), f"Field {field} must be numeric"))
-            checks.append(F.when(to_number(c) < 0, f"Field {field} must be non-negative"))
+            if isinstance(df.schema[field].dataType, T.NumericType):
+                checks.append(F.when(c < 0, f"Field {field} must be non-negative"))  # NaN is a number, and not below 0
+            else:
+                checks.append(F.when(c.isNotNull(), f"Field {field} must be numeric"))
     return F.coalesce(*checks)
 
 
@@ -62,21 +64,30 @@ _FITS = {
 
 
 def compare_schema(df: DataFrame, version: str = "v1", fields: Sequence[tuple[str, str, bool]] | None = None) -> DataFrame:
-    """One row per contract field: expected and actual type, nulls found, and whether both fit."""
+    """One row per contract field: expected and actual type, nulls, values outside its symbols, and whether all fit.
+
+    A version that is not known gives one row, for the field ``version``, that does not fit.
+    """
     fields = CONTRACTS.get(version) if fields is None else fields
     if fields is None:
-        raise KeyError(f"Unknown schema version: {version}")
+        return df.agg(F.count("*").alias("n")).select(
+            F.lit("version").alias("field"), F.lit(", ".join(CONTRACTS)).alias("expected"), F.lit(version).alias("actual"),
+            F.lit(0).cast("bigint").alias("nulls"), F.lit(0).cast("bigint").alias("unknown_symbols"), F.lit(0).alias("ok"))
     actual = {f.name: f.dataType for f in df.schema}
     present = [name for name, _, _ in fields if name in actual]
-    nulls = df.agg(F.count("*").alias("n"), *[F.count_if(col(c).isNull()).alias(f"null_{c}") for c in present])
+    symbols = {c: s for c, s in CONTRACT_ENUMS.get(version, {}).items() if c in present}
+    facts = df.agg(
+        F.count("*").alias("n"), *[F.count_if(col(c).isNull()).alias(f"null_{c}") for c in present],
+        *[F.count_if(col(c).isNotNull() & ~col(c).cast("string").isin(s)).alias(f"odd_{c}") for c, s in symbols.items()])
     lines = []
     for name, expected, nullable in fields:
         fits = name in actual and isinstance(actual[name], _FITS[expected])
         empty = F.col(f"null_{name}") if name in actual else F.col("n")
+        odd = F.col(f"odd_{name}") if name in symbols else F.lit(0).cast("bigint")
         lines.append(F.struct(
             F.lit(name).alias("field"), F.lit(expected).alias("expected"),
             F.lit(actual[name].simpleString() if name in actual else None).cast("string").alias("actual"),
-            empty.alias("nulls"),
-            (F.lit(fits) & (F.lit(nullable) | (empty == 0))).cast("int").alias("ok"),
+            empty.alias("nulls"), odd.alias("unknown_symbols"),
+            (F.lit(fits) & (F.lit(nullable) | (empty == 0)) & (odd == 0)).cast("int").alias("ok"),
         ))
-    return nulls.select(F.inline(F.array(*lines)))
+    return facts.select(F.inline(F.array(*lines)))

@@ -11,6 +11,7 @@ from claimscope.functions.columns import col
 from claimscope.functions.order import exact_percentiles, running_totals, unpivot_values
 from claimscope.functions.special import chi_square_pvalue, kolmogorov_pvalue
 from claimscope.operators.clean import numeric_columns, string_columns
+from claimscope.session import cut_lineage
 from claimscope.schema import DRIFT_THRESHOLD, PREDICTION_DRIFT_THRESHOLD, REFERENCE_PROBABILITY
 
 # Advice per severity.
@@ -65,79 +66,102 @@ def stack(ref: DataFrame, new: DataFrame, exclude: Sequence[str] = EXCLUDED) ->
     return one.unionByName(two), numeric, text
 
 
-def psi(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, buckets: int = 10,
-        exclude: Sequence[str] = EXCLUDED) -> DataFrame:
-    """Population stability index per numeric feature over reference quantile bins.
+def value_counts(ref: DataFrame, new: DataFrame, exclude: Sequence[str] = EXCLUDED, numeric: bool = True, text: bool = True,
+                 columns: Sequence[str] | None = None) -> DataFrame:
+    """``feature, number, value, ref, new``: how often each value of each shared feature occurs on either side.
 
-    Bins are left-closed with open outer ends; a repeated edge sends its value to the last of
-    its bins; shares are of all rows, nulls included; an empty share counts as 0.0001.
+    One pass over both sides for all features; a number has ``number``, a text ``value``, a missing value neither.
+    The counts are stored: every statistic below is made from them. NaN counts as missing.
     """
-    both, numeric, _ = stack(ref, new, exclude)
-    columns = numeric if columns is None else list(columns)
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = exact_percentiles(ref, {c: col(c) for c in columns}, probs)
-    cells = []
-    for c in columns:
-        v, spot = col(c), F.lit(0)
-        for edge in edges[c]:
-            spot = spot + (v >= F.lit(edge)).cast("int")
-        cells.append(F.struct(F.lit(c).alias("feature"), F.when(F.isnan(v), None).otherwise(spot).alias("bin")))
-    counts = (
-        both.select("ref", "new", F.inline(F.array(*cells)))
-        .groupBy("feature", "bin").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
-    )
-    # null bins carry the rows without a value, so the sums over a feature are its totals
-    wide = counts.groupBy("feature").agg(
+    both, numbers, texts = stack(ref, new, exclude)
+    chosen = [c for c in numbers if numeric] + [c for c in texts if text]
+    chosen = [c for c in chosen if columns is None or c in columns]
+    none_number, none_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cells = [
+        F.struct(F.lit(c).alias("feature"), (F.when(~F.isnan(col(c)), col(c)) if c in numbers else none_number).alias("number"),
+                 (none_text if c in numbers else col(c).cast("string")).alias("value"), F.lit(int(c in numbers)).alias("numeric"))
+        for c in chosen]
+    if not cells:
+        raise ValueError("the two sides share no feature")
+    rows = both.select("ref", "new", F.inline(F.array(*cells)))
+    return cut_lineage(rows.groupBy("feature", "numeric", "number", "value").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new")), "drift")
+
+
+def _sizes(counts: DataFrame) -> DataFrame:
+    """Per feature all rows (``n_ref``, ``n_new``) and those with a value (``m``, ``n``) of either side; a row a feature."""
+    filled = F.col("number").isNotNull() | F.col("value").isNotNull()
+    return counts.groupBy("feature").agg(
         F.sum("ref").alias("n_ref"), F.sum("new").alias("n_new"),
-        *[F.coalesce(F.sum(F.when(F.col("bin") == b, F.col(s))), F.lit(0)).alias(f"{s}{b}")
-          for b in range(buckets) for s in ("ref", "new")])
+        F.sum(F.when(filled, F.col("ref")).otherwise(0)).alias("m"), F.sum(F.when(filled, F.col("new")).otherwise(0)).alias("n"))
+
+
+def _ranked(counts: DataFrame) -> DataFrame:
+    """Distinct numbers of each feature with the running counts of both sides and the sizes of the feature, stored."""
+    numbers = counts.filter("number IS NOT NULL").select("feature", "number", "ref", "new")
+    return cut_lineage(running_totals(numbers, "number", ["ref", "new"], ["feature"]).join(_sizes(counts), "feature"), "ranked")
+
+
+def _psi(ranked: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """Edges are the interpolated quantiles of the reference, read off its running counts."""
+    picks = []
+    for i in range(1, buckets):
+        rank = (F.col("m") - 1) * F.lit(i / buckets)
+        for name, r in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            here = (F.col("ref_upto") > r) & (F.col("ref_upto") - F.col("ref") <= r)
+            picks.append(F.max(F.when(here, F.col("number"))).alias(f"{name}{i}"))
+    found = ranked.groupBy("feature", "m").agg(*picks)
+    edges = [(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * ((F.col("m") - 1) * F.lit(i / buckets) - F.floor((F.col("m") - 1) * F.lit(i / buckets)))).alias(f"e{i}")
+             for i in range(1, buckets)]
+    cut = ranked.join(found.select("feature", *edges), "feature")  # a row a feature
+    spot = sum((F.coalesce((F.col("number") >= F.col(f"e{i}")).cast("int"), F.lit(0)) for i in range(1, buckets)), F.lit(0))
+    bins = cut.groupBy("feature", spot.alias("bin")).agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
+    wide = _sizes(counts.filter("numeric = 1")).join(bins.groupBy("feature").agg(*[
+        F.sum(F.when(F.col("bin") == b, F.col(s))).alias(f"{s}{b}") for b in range(buckets) for s in ("ref", "new")]), "feature", "left")
     total = F.lit(0.0)
     for b in range(buckets):
-        r = F.try_divide(F.col(f"ref{b}").cast("double"), F.col("n_ref").cast("double"))
-        n = F.try_divide(F.col(f"new{b}").cast("double"), F.col("n_new").cast("double"))
+        r = F.try_divide(F.coalesce(f"ref{b}", F.lit(0)).cast("double"), F.col("n_ref").cast("double"))
+        n = F.try_divide(F.coalesce(f"new{b}", F.lit(0)).cast("double"), F.col("n_new").cast("double"))
         r, n = F.when(r == 0, 0.0001).otherwise(r), F.when(n == 0, 0.0001).otherwise(n)
         total = total + (n - r) * F.ln(n / r)
     return wide.select("feature", total.alias("psi"))
 
 
-def ks(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = EXCLUDED) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per numeric feature.
-
-    Rows shrink to distinct values before the shuffle; both distribution functions are running
-    totals over range buckets, all features in one pass.
-    """
-    both, numeric, _ = stack(ref, new, exclude)
-    columns = numeric if columns is None else list(columns)
-    values = (
-        unpivot_values(both, columns, keep=["ref", "new"]).filter("value IS NOT NULL AND NOT isnan(value)")
-        .groupBy("feature", "value").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
-    )
-    ranked = running_totals(values, "value", ["ref", "new"], ["feature"])
-    # the totals of a feature are the last running totals, so one aggregate serves both needs
-    sizes = values.groupBy("feature").agg(F.sum("ref").alias("m"), F.sum("new").alias("n"))
+def _ks(ranked: DataFrame) -> DataFrame:
     gap = F.abs(F.try_divide(F.col("ref_upto").cast("double"), F.col("m").cast("double"))
                 - F.try_divide(F.col("new_upto").cast("double"), F.col("n").cast("double")))
-    out = ranked.join(F.broadcast(sizes), "feature").groupBy("feature", "m", "n").agg(F.max(gap).alias("ks_statistic"))
+    out = ranked.groupBy("feature", "m", "n").agg(F.max(gap).alias("ks_statistic"))
     return out.select("feature", "ks_statistic", kolmogorov_pvalue(F.col("ks_statistic"), F.col("m"), F.col("n")).alias("ks_pvalue"))
 
 
+def _aligned(counts: DataFrame) -> DataFrame:
+    texts = counts.filter("value IS NOT NULL").join(_sizes(counts), "feature")  # a row a feature
+    share = {s: F.coalesce(F.try_divide(F.col(s).cast("double"), F.col(t).cast("double")), F.lit(0.0)) for s, t in (("ref", "m"), ("new", "n"))}
+    return texts.select("feature", "value", share["ref"].alias("ref_share"), share["new"].alias("new_share"))
+
+
+def psi(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, buckets: int = 10,
+        exclude: Sequence[str] = EXCLUDED) -> DataFrame:
+    """Population stability index per numeric feature over reference quantile bins.
+
+    Bins are left-closed with open outer ends; a repeated edge sends its value to the last of
+    its bins; shares are of all rows, nulls included; an empty share counts as 0.0001.
+    """
+    counts = value_counts(ref, new, exclude, text=False, columns=columns)
+    return _psi(_ranked(counts), counts, buckets)
+
+
+def ks(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = EXCLUDED) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per numeric feature, from running totals over distinct values."""
+    return _ks(_ranked(value_counts(ref, new, exclude, text=False, columns=columns)))
+
+
 def align_categories(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None,
                      exclude: Sequence[str] = EXCLUDED) -> DataFrame:
     """Shares of every category seen in either dataset, 0 where it is absent.
 
     Both datasets are counted in one grouped pass, so aligning them needs no join.
     """
-    both, _, text = stack(ref, new, exclude)
-    columns = text if columns is None else list(columns)
-    counts = category_counts(both, columns, {"ref": F.col("ref"), "new": F.col("new")})
-    filled = both.agg(*[F.count_if(col(c).isNotNull() & (F.col(s) == 1)).alias(f"{s}{i}")
-                        for i, c in enumerate(columns) for s in ("ref", "new")]).first()
-
-    def share(side: str) -> Column:
-        total = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(float(filled[f"{side}{i}"])))])
-        return F.coalesce(F.try_divide(F.col(side).cast("double"), total[F.col("feature")]), F.lit(0.0))
-
-    return counts.select("feature", "value", share("ref").alias("ref_share"), share("new").alias("new_share"))
+    return _aligned(value_counts(ref, new, exclude, numeric=False, columns=columns))
 
 
 def chi_square(aligned: DataFrame) -> DataFrame:
@@ -152,20 +176,29 @@ def chi_square(aligned: DataFrame) -> DataFrame:
     return out.withColumn("chi2_pvalue", p)
 
 
-def feature_drift(ref: DataFrame, new: DataFrame, exclude: Sequence[str] = EXCLUDED, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
-    """One row per feature with its statistics and ``drifted``.
+def numeric_drift(counts: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    ranked, none = _ranked(counts), F.lit(None).cast("double")
+    both = _psi(ranked, counts, 10).join(_ks(ranked), "feature")
+    flag = ((F.col("psi") > threshold) | (F.col("ks_pvalue") < 0.05)).cast("int")
+    return both.select("feature", "psi", "ks_statistic", "ks_pvalue", none.alias("chi2_statistic"), none.alias("chi2_pvalue"), flag.alias("drifted"))
+
+
+def text_drift(counts: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("double")
+    return chi_square(_aligned(counts)).select(
+        "feature", none.alias("psi"), none.alias("ks_statistic"), none.alias("ks_pvalue"),
+        "chi2_statistic", "chi2_pvalue", (F.col("chi2_pvalue") < 0.05).cast("int").alias("drifted"))
+
+
+def feature_drift(ref: DataFrame, new: DataFrame, exclude: Sequence[str] = EXCLUDED, threshold: float = DRIFT_THRESHOLD,
+                  numeric: bool = True, text: bool = True) -> DataFrame:
+    """One row per feature with its statistics and ``drifted``; both sides are read once, and only for the kinds asked for.
 
     ``exclude`` leaves out row keys: each new key is an unseen category and would always drift.
     """
-    numeric = psi(ref, new, exclude=exclude).join(ks(ref, new, exclude=exclude), "feature")
-    numeric = numeric.select("feature", "psi", "ks_statistic", "ks_pvalue",
-                             F.lit(None).cast("double").alias("chi2_statistic"), F.lit(None).cast("double").alias("chi2_pvalue"),
-                             ((F.col("psi") > threshold) | (F.col("ks_pvalue") < 0.05)).cast("int").alias("drifted"))
-    text = chi_square(align_categories(ref, new, exclude=exclude))
-    none = F.lit(None).cast("double")
-    text = text.select("feature", none.alias("psi"), none.alias("ks_statistic"), none.alias("ks_pvalue"),
-                       "chi2_statistic", "chi2_pvalue", (F.col("chi2_pvalue") < 0.05).cast("int").alias("drifted"))
-    return numeric.unionByName(text)
+    counts = value_counts(ref, new, exclude, numeric, text)
+    parts = ([numeric_drift(counts, threshold)] if numeric else []) + ([text_drift(counts)] if text else [])
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
 
 
 def overall(features: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscope.functions.columns import byte_key, col, flag
+from claimscope.functions.columns import col, flag
 from claimscope.functions.order import running_totals
 from claimscope.session import cut_lineage
 
@@ -93,26 +93,30 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     cells = [F.struct(F.lit(c).alias("feature"), _text(c).alias("value")) for c in columns]
     values = df.select(F.inline(F.array(*cells))).distinct().withColumn("one", F.lit(1))
-    numbered = running_totals(values, "value", ["one"], ["feature"], key=byte_key(F.col("value")))
+    numbered = running_totals(values, "value", ["one"], ["feature"])
     return numbered.select("feature", "value", (F.col("one_upto") - 1).cast("int").alias("code"))
 
 
+#: Codes of a feature up to which they are looked up in a literal map; more codes make a join.
+SMALL_DICTIONARY = 256
+
+
 def encode_labels(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], stored: bool = False) -> DataFrame:
     """Replace text by its code; a value the dictionary lacks gets 0, the first class.
 
-    The dictionary is written once, unless it is ``stored`` already; from its size Spark
-    broadcasts it or shuffles that join.
+    The dictionary is written once, unless it is ``stored`` already. Features of few values, by a count of the stored
+    dictionary, are looked up in the row; for the others, Spark broadcasts or shuffles a join by the stored size.
     """
     if not stored:
         dictionary = cut_lineage(dictionary, "labels")
-    for c in columns:
-        codes = dictionary.filter(F.col("feature") == c).select(
-            F.col("value").alias("_value"), F.col("code").alias("_code"))
-        df = (
-            df.join(codes, _text(c) == F.col("_value"), "left")
-            .withColumn(c, F.coalesce("_code", F.lit(0)))
-            .drop("_value", "_code")
-        )
+    sizes = {r["feature"]: r["count"] for r in dictionary.groupBy("feature").count().collect()}
+    small = [c for c in columns if sizes.get(c, 0) <= SMALL_DICTIONARY]
+    codes: dict[str, list] = {c: [] for c in small}
+    for r in dictionary.filter(F.col("feature").isin(small)).collect() if small else []:
+        codes[r["feature"]] += [F.lit(r["value"]), F.lit(r["code"])]
+    found = {c: F.coalesce(F.try_element_at(F.create_map(*pairs), _text(c)), F.lit(0)) if pairs else F.lit(0) for c, pairs in codes.items()}
+    df = df.withColumns(found)
+    for c in [c for c in columns if c not in small]:
+        known = dictionary.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        df = df.join(known, _text(c) == F.col("_value"), "left").withColumn(c, F.coalesce("_code", F.lit(0))).drop("_value", "_code")
     return df
-
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscope.functions.columns import col
@@ -44,24 +44,28 @@ def at_most_long(column: str, length: int, name: str | None = None) -> Rule:
     return Rule(name or f"{column}_too_long", column, F.length(col(column)) > length)
 
 
-def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: ``rule, column_name, n_rows, violations, success, message``; a single pass."""
-    rules = [r for r in rules if r.column in df.columns]
-    counts = df.agg(F.count("*").alias("n_rows"), *[F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)])
+_RESULT = "array<struct<rule: string, column_name: string, n_rows: bigint, violations: bigint, success: int, message: string>>"
 
-    def text(i: int, rule: Rule) -> Column:
+
+def run_rules(df: DataFrame, rules: Sequence[Rule], absent_fails: bool = True) -> DataFrame:
+    """One row per rule: ``rule, column_name, n_rows, violations, success, message``; a single pass.
+
+    A rule whose column the table lacks fails for all its rows, or is left out with ``absent_fails=False``.
+    """
+    rules = [r for r in rules if absent_fails or r.column in df.columns]
+    there = [r.column in df.columns for r in rules]
+    counts = df.agg(F.count("*").alias("n_rows"), *[F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules) if there[i]])
+
+    def line(i: int, rule: Rule) -> Column:
+        head = [F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column_name"), F.col("n_rows")]
+        if not there[i]:
+            return F.struct(*head, F.col("n_rows").alias("violations"), F.lit(0).alias("success"),
+                            F.lit(f"column {rule.column} is missing").alias("message"))
         before, after = rule.message.split("{n}")
-        return F.concat(F.lit(before), F.col(f"r{i}").cast("string"), F.lit(after))
+        text = F.concat(F.lit(before), F.col(f"r{i}").cast("string"), F.lit(after))
+        return F.struct(*head, F.col(f"r{i}").alias("violations"), (F.col(f"r{i}") == 0).cast("int").alias("success"), text.alias("message"))
 
-    lines = [
-        F.struct(
-            F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"), F.col("n_rows"),
-            F.col(f"r{i}").alias("violations"), (F.col(f"r{i}") == 0).cast("int").alias("success"),
-            text(i, r).alias("message"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return counts.select(F.inline(F.array(*lines)))
+    return counts.select(F.inline(F.array(*[line(i, r) for i, r in enumerate(rules)]).cast(_RESULT)))
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -94,7 +98,7 @@ def quality_report(
     """``issue, n, message`` for every issue found: missing columns, ranges, values, duplicates."""
     rules = [between(c, lo, hi) for c, (lo, hi) in ranges.items()]
     rules += [one_of(c, [*v, "Unknown"], null_is_bad=True) for c, v in values.items()]
-    out = run_rules(df, rules).select(F.col("rule").alias("issue"), F.col("violations").alias("n"), "message")
+    out = run_rules(df, rules, absent_fails=False).select(F.col("rule").alias("issue"), F.col("violations").alias("n"), "message")
     if key in df.columns:
         dupes = duplicate_count(df, key).select(
             F.lit("duplicates").alias("issue"), F.col("duplicates").alias("n"),
@@ -136,17 +140,11 @@ def column_order_check(df: DataFrame, expected: Sequence[str]) -> DataFrame:
 
 
 def suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rules of a suite with the verdict of the whole suite on every row."""
+    """Rules of a suite with the verdict of the whole suite on every row; one pass over ``df``, one row per rule after it."""
     results = run_rules(df, rules).select("rule", "column_name", "violations", "success")
-    totals = results.agg(
-        F.min("success").alias("suite_success"), F.count("*").alias("evaluated"),
-        F.sum("success").alias("successful"))
-    known = totals.first()
+    whole = Window.partitionBy()
     return results.withColumns({
-        "suite_success": F.lit(known["suite_success"]).cast("int"),
-        "evaluated": F.lit(known["evaluated"]).cast("bigint"),
-        "successful": F.lit(known["successful"]).cast("bigint"),
-    })
+        "suite_success": F.min("success").over(whole), "evaluated": F.count("*").over(whole), "successful": F.sum("success").over(whole)})
 
 
 def profile(df: DataFrame, key: str, ranges: Mapping[str, tuple[float, float]], values: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimscope.functions.columns import byte_key, col, percent
+from claimscope.functions.columns import col, percent
 from claimscope.functions.order import running_totals
 from claimscope.operators.clean import fraud_label
 
@@ -20,9 +21,9 @@ def mean(column: str, digits: int = 2) -> Column:
     return F.round(F.avg(col(column).cast("double")), digits)
 
 
-def money(column: str) -> Column:
-    """Sum of an amount, exact to 1/10000 and therefore the same in any order of the rows."""
-    return F.sum(col(column).cast("decimal(18,4)")).cast("double")
+def money(column: str, digits: int = 4) -> Column:
+    """Sum of an amount as a double, rounded only at the end."""
+    return F.round(F.sum(col(column).cast("double")), digits)
 
 
 def fraud_rate(
@@ -71,19 +72,11 @@ def kpis(df: DataFrame) -> DataFrame:
     )
 
 
-def rank_rows(df: DataFrame, value: str, ties: Sequence[str], name: str, step: float = 0.001) -> DataFrame:
-    """Row number over the whole table, ``value`` descending then ``ties``, without a single-task sort.
-
-    ``value`` is a share rounded to ``step``. Rows are dealt to range buckets by value and by the
-    first bytes of the first tie column, so many rows of one value spread out too; numbers run
-    inside a bucket, on top of the sizes of the buckets before. A null value comes last.
-    """
-    levels = F.coalesce(F.round((1 - F.col(value)) / step), F.lit(round(1 / step) + 1))
-    key = levels * F.lit(2.0**40) + byte_key(F.col(ties[0]), 5)
+def rank_rows(df: DataFrame, value: str, ties: Sequence[str], name: str) -> DataFrame:
+    """Row number over the whole table, ``value`` descending then ``ties``, without a single-task sort; null comes last."""
     order = F.struct(F.coalesce(-F.col(value), F.lit(float("inf"))).alias("v"), *ties)
-    numbered = df.withColumns({"_order": order, "_key": key, "_one": F.lit(1).cast("bigint")})
-    ranked = running_totals(numbered, "_order", ["_one"], key=F.col("_key"))
-    return ranked.withColumnRenamed("_one_upto", name).drop("_order", "_key", "_one")
+    numbered = df.withColumns({"_order": order, "_one": F.lit(1).cast("bigint")})
+    return running_totals(numbered, "_order", ["_one"]).withColumnRenamed("_one_upto", name).drop("_order", "_one")
 
 
 def risk_band(rate: Column) -> Column:
@@ -97,8 +90,7 @@ def fraud_groups(staged: DataFrame) -> DataFrame:
     """Groups of the risk mart, with the fraud rate as a fraction of three digits."""
     keyed = staged.drop("incident_severity").withColumnRenamed("incident_severity_clean", "incident_severity")
     return fraud_rate(keyed, MART_KEYS, scale=1, digits=3, extra={
-        "avg_claim_amount": F.try_divide(money("total_claim_amount"), F.count("total_claim_amount")),
-        "avg_premium": F.try_divide(money("policy_annual_premium"), F.count("policy_annual_premium")),
+        "avg_claim_amount": mean("total_claim_amount", 4), "avg_premium": mean("policy_annual_premium", 4),
         "total_claim_value": money("total_claim_amount"),
     })
 
@@ -130,10 +122,12 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def page(df: DataFrame, order: Sequence[str | Column], limit: int = 100, offset: int = 0, most: int = 1000) -> DataFrame:
-    """One page of a table. The order is explicit, so pages neither overlap nor miss rows."""
+    """One page of a table, in ``order`` and then by all other columns that can be ordered, so that pages neither overlap
+    nor miss rows: rows that still tie are alike."""
     if not 1 <= limit <= most or offset < 0:
         raise ValueError(f"limit must be 1..{most} and offset not negative")
-    return df.orderBy(*order).offset(offset).limit(limit)
+    rest = [col(c) for c in df.columns if c not in order and not isinstance(df.schema[c].dataType, T.MapType)]
+    return df.orderBy(*order, *rest).offset(offset).limit(limit)
 
 
 def batch_summary(scored: DataFrame) -> DataFrame:

@@ -14,6 +14,12 @@ def upsert_nodes(writes: DataFrame) -> DataFrame:
     return latest(writes, ["node_id"], ["written_at", "name", "source"])
 
 
+def append_edges(edges: DataFrame | None, new: DataFrame, run_id: str) -> DataFrame:
+    """Edges with the run that reported them; an edge reported again is there again."""
+    stamped = new.withColumn("run_id", F.lit(run_id))
+    return stamped if edges is None else edges.unionByName(stamped)
+
+
 def append_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Rows of all tables, columns matched by name; duplicates stay."""
     for other in others:
@@ -43,10 +49,10 @@ def union_keys(processed: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def skip_processed(df: DataFrame, processed: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not among the processed keys."""
+    """Rows whose key is not among the processed keys; a null key is a key like any other."""
     # repeats of a processed key fall away before the shuffle
-    keys = processed.select(col(key)).distinct()
-    return df.join(keys, key, "left_anti").select(*[col(c) for c in df.columns])
+    keys = processed.select(col(key).alias("_done")).distinct()
+    return df.join(keys, col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
 def max_watermark(processed: DataFrame, key: str) -> DataFrame:

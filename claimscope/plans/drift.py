@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from claimscope.operators import drift, evaluate
 from claimscope.plans.registry import define, query, quoted, rounded
-from claimscope.schema import NUMERIC_COLUMNS
+from claimscope.schema import CLEAN_SCHEMA, NUMERIC_COLUMNS, RAW_SCHEMA
 from claimscope.sources.tables import claims, relation
 
-_NUMERIC = ["age", "months_as_customer", "total_claim_amount", "witnesses"]
-_TEXT = ["incident_severity", "policy_state"]
-_PROFILED_TEXT = ["policy_state", "insured_sex", "incident_type", "collision_type", "incident_severity", "auto_make", "tenure_group", "age_group"]
+_TYPES = {f.name: f.dataType for f in RAW_SCHEMA}
+_NUMERIC = [c for c, t in _TYPES.items() if isinstance(t, NumericType)]
+_TEXT = [c for c, t in _TYPES.items() if isinstance(t, StringType) and c != "policy_number"]
+_PROFILED_TEXT = [f.name for f in CLEAN_SCHEMA if isinstance(f.dataType, StringType) and f.name != "policy_number"]
 
 
 def sides(spark, sf_dir):
@@ -49,12 +51,12 @@ def _psi_sql(c: str) -> str:
 
 
 define("psi_edges", " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, quantile_cont({c}::DOUBLE, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM drift_ref" for c in _NUMERIC),
+    f"SELECT '{c}' AS feature, quantile_cont({quoted(c)}::DOUBLE, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM drift_ref" for c in _NUMERIC),
        ["drift_ref"])
 for _side in ("ref", "new"):
     define(f"{_side}_bins", " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, len(list_filter((SELECT edges FROM psi_edges WHERE feature = '{c}'), lambda e: e <= {c})) AS bin "
-        f"FROM drift_{_side} WHERE {c} IS NOT NULL" for c in _NUMERIC), ["psi_edges", f"drift_{_side}"])
+        f"SELECT '{c}' AS feature, len(list_filter((SELECT edges FROM psi_edges WHERE feature = '{c}'), lambda e: e <= {quoted(c)})) AS bin "
+        f"FROM drift_{_side} WHERE {quoted(c)} IS NOT NULL" for c in _NUMERIC), ["psi_edges", f"drift_{_side}"])
 define("psi_values", " UNION ALL ".join(_psi_sql(c) for c in _NUMERIC), ["ref_bins", "new_bins"])
 
 
@@ -64,11 +66,12 @@ def drift_psi(spark, sf_dir):
 
 
 def _ks_sql(c: str) -> str:
+    q = quoted(c)
     return f"""SELECT '{c}' AS feature, max(abs(f1 - f2)) AS d, max(m) AS m, max(n) AS n FROM (
       SELECT sum(r) OVER (ORDER BY v) / m AS f1, sum(w) OVER (ORDER BY v) / n AS f2, m, n FROM (
-        SELECT v, sum(r)::DOUBLE AS r, sum(w)::DOUBLE AS w, (SELECT count({c}) FROM drift_ref)::DOUBLE AS m, (SELECT count({c}) FROM drift_new)::DOUBLE AS n
-        FROM (SELECT {c}::DOUBLE AS v, 1 AS r, 0 AS w FROM drift_ref WHERE {c} IS NOT NULL
-              UNION ALL SELECT {c}::DOUBLE, 0, 1 FROM drift_new WHERE {c} IS NOT NULL) GROUP BY v))"""
+        SELECT v, sum(r)::DOUBLE AS r, sum(w)::DOUBLE AS w, (SELECT count({q}) FROM drift_ref)::DOUBLE AS m, (SELECT count({q}) FROM drift_new)::DOUBLE AS n
+        FROM (SELECT {q}::DOUBLE AS v, 1 AS r, 0 AS w FROM drift_ref WHERE {q} IS NOT NULL
+              UNION ALL SELECT {q}::DOUBLE, 0, 1 FROM drift_new WHERE {q} IS NOT NULL) GROUP BY v))"""
 
 
 define("ks_stats", " UNION ALL ".join(_ks_sql(c) for c in _NUMERIC), ["drift_ref", "drift_new"])
@@ -118,14 +121,14 @@ define("drift_features", """SELECT p.feature, psi, ks_statistic, ks_pvalue, NULL
 @query("drift_numeric_flag", f"""SELECT feature, {rounded('psi', 6)} AS psi, {rounded('ks_pvalue', 6)} AS ks_pvalue, drifted FROM drift_features
   WHERE psi IS NOT NULL AND drifted = 1""", ["drift_features"])
 def drift_numeric_flag(spark, sf_dir):
-    return drift.feature_drift(*sides(spark, sf_dir)).filter("psi IS NOT NULL AND drifted = 1").select(
+    return drift.feature_drift(*sides(spark, sf_dir), text=False).filter("drifted = 1").select(
         "feature", *r2(["psi", "ks_pvalue"], 6), "drifted")
 
 
 @query("drift_categorical_flag", """SELECT feature, round(chi2_statistic, 8) AS chi2_statistic, round(chi2_pvalue, 6) AS chi2_pvalue, drifted
   FROM drift_features WHERE psi IS NULL AND drifted = 1""", ["drift_features"])
 def drift_categorical_flag(spark, sf_dir):
-    return drift.feature_drift(*sides(spark, sf_dir)).filter("psi IS NULL AND drifted = 1").select(
+    return drift.feature_drift(*sides(spark, sf_dir), numeric=False).filter("drifted = 1").select(
         "feature", *r2(["chi2_statistic"], 8), *r2(["chi2_pvalue"], 6), "drifted")
 
 

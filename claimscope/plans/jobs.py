@@ -15,6 +15,7 @@ from claimscope.functions.columns import col
 from claimscope.operators import quality
 from claimscope.operators.clean import fit_medians, transform_claims
 from claimscope.operators.relational import skip_processed
+from claimscope.session import cut_lineage
 from claimscope.sources import files
 
 RUN_SCHEMA = (
@@ -80,7 +81,7 @@ def run_load(
         record["data_quality_score"] = quality_score(record["rows_extracted"], record["rows_transformed"])
         record["status"] = "success"
     except Exception as e:
-        record["errors"] = [str(e)[:2000]]
+        record["errors"] = [str(e)]
         raise
     finally:
         record["total_seconds"] = round(time.monotonic() - start, 2)
@@ -130,7 +131,7 @@ def run_incremental(
     new = raw
     if control["last_run"] is not None:
         done = spark.read.schema(f"{key} string, load string").parquet(keys_path).filter(F.col("load") != load)
-        new = skip_processed(raw, done, key)
+        new = cut_lineage(skip_processed(raw, done, key), "new-rows")  # looked for once, then loaded and listed
     loaded = files.append_table(transform_claims(new, medians=medians), table_path, at, load)
     new.select(col(key)).distinct().write.mode("overwrite").parquet(os.path.join(keys_path, f"load={load}"))
     state = spark.range(1).select(

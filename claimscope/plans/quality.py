@@ -164,8 +164,10 @@ def _schema_rows() -> str:
         empty = f"count(*) FILTER ({name} IS NULL)" if actual else "count(*)"
         good = "TRUE" if actual in fits[expected] else "FALSE"
         need = "TRUE" if nullable else f"{empty} = 0"
+        symbols = S.CONTRACT_ENUMS["v1"].get(name)
+        odd = f"count(*) FILTER ({name} NOT IN {_in(symbols)})" if symbols and actual else "0::BIGINT"
         lines.append(f"SELECT '{name}' AS field, '{expected}' AS expected, {repr(actual) if actual else 'CAST(NULL AS VARCHAR)'} AS actual, "
-                     f"{empty} AS nulls, CASE WHEN {good} AND {need} THEN 1 ELSE 0 END AS ok FROM claims_raw")
+                     f"{empty} AS nulls, {odd} AS unknown_symbols, CASE WHEN {good} AND {need} AND {odd} = 0 THEN 1 ELSE 0 END AS ok FROM claims_raw")
     return "\nUNION ALL ".join(lines)
 
 

@@ -134,12 +134,11 @@ def agg_stats_endpoint(spark, sf_dir):
     return rates.fraud_rate(claims(spark, sf_dir), digits=1, extra=extra, rate="fraud_rate_percent")
 
 
-_MONEY = "CAST(sum(CAST({} AS DECIMAL(18,4))) AS DOUBLE)"
 define("fraud_groups", f"""SELECT auto_make, incident_severity_clean AS incident_severity, age_group, tenure_group,
   count(*) AS total_claims, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, {rounded('sum(is_fraud) * 1.0 / count(*)', 3)} AS fraud_rate,
-  {_MONEY.format('total_claim_amount')} / count(total_claim_amount) AS avg_claim_amount,
-  {_MONEY.format('policy_annual_premium')} / count(policy_annual_premium) AS avg_premium,
-  {_MONEY.format('total_claim_amount')} AS total_claim_value
+  {rounded('avg(total_claim_amount)', 4)} AS avg_claim_amount,
+  {rounded('avg(policy_annual_premium)', 4)} AS avg_premium,
+  {rounded('sum(total_claim_amount)', 4)} AS total_claim_value
   FROM stg_claims GROUP BY auto_make, incident_severity_clean, age_group, tenure_group""", ["stg_claims"])
 _BAND = "CASE WHEN fraud_rate >= 0.2 THEN 'HIGH_RISK' WHEN fraud_rate >= 0.1 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS risk_category"
 _RANK = """row_number() OVER (ORDER BY fraud_rate DESC, auto_make NULLS FIRST, incident_severity NULLS FIRST,
@@ -195,8 +194,11 @@ def restore_check(spark, sf_dir):
     return rates.restore_check(claims(spark, sf_dir))
 
 
-@query("page_claims", "SELECT " + ", ".join(quoted(c) for c in FINAL_COLUMNS) + """ FROM claims WHERE is_fraud = 1
-  ORDER BY policy_number, total_claim_amount LIMIT 100 OFFSET 200""", ["claims"])
+_PAGE_ORDER = ["policy_number", "total_claim_amount", *[c for c in FINAL_COLUMNS if c not in ("policy_number", "total_claim_amount")]]
+
+
+@query("page_claims", "SELECT " + ", ".join(quoted(c) for c in FINAL_COLUMNS) + " FROM claims WHERE is_fraud = 1 ORDER BY "
+       + ", ".join(f"{quoted(c)} NULLS FIRST" for c in _PAGE_ORDER) + " LIMIT 100 OFFSET 200", ["claims"])
 def page_claims(spark, sf_dir):
     return rates.page(clean.fraud_only(claims(spark, sf_dir)), ["policy_number", "total_claim_amount"], 100, 200)
 

@@ -97,6 +97,15 @@ CONTRACTS = {
         ("timestamp", "string", False),
     ],
 }
+# Symbols of the contract's enumerated fields, version by version.
+CONTRACT_ENUMS = {
+    "v1": {
+        "policy_state": ["OH", "IN", "IL", "PA", "NY"],
+        "insured_sex": ["M", "F"],
+        "incident_severity": ["Trivial Damage", "Minor Damage", "Major Damage", "Total Loss"],
+        "police_report_available": ["YES", "NO"],
+    },
+}
 CONTRACT_REQUIRED = ["policy_number", "policy_state", "policy_annual_premium", "total_claim_amount"]
 CONTRACT_NUMERIC = ["months_as_customer", "age", "policy_annual_premium", "total_claim_amount"]
 

@@ -68,15 +68,16 @@ FROM claims_raw
 """
 
 DRIFT_REF = """
-SELECT policy_number, age, months_as_customer, total_claim_amount, witnesses, incident_severity, policy_state
-FROM claims_raw WHERE incident_date < {ntz} '1998-07-01 00:00:00'
+SELECT * FROM claims_raw WHERE incident_date < {ntz} '1998-07-01 00:00:00'
 """
 
-DRIFT_NEW = """
-SELECT policy_number, age, months_as_customer, total_claim_amount * 1.3E0 AS total_claim_amount, witnesses,
-  CASE WHEN incident_hour_of_the_day >= 22 THEN 'Write Off' ELSE incident_severity END AS incident_severity, policy_state
-FROM claims_raw WHERE incident_date >= {ntz} '1998-07-01 00:00:00'
-"""
+_MOVED = {
+    "total_claim_amount": "total_claim_amount * 1.3E0",
+    "incident_severity": "CASE WHEN incident_hour_of_the_day >= 22 THEN 'Write Off' ELSE incident_severity END",
+}
+_RAW_NAMES = re.findall(r' AS ("[^"]+"|\w+),?$', CLAIMS_RAW.split("FROM f\n")[0].split("SELECT\n")[1], re.M)
+DRIFT_NEW = "SELECT " + ", ".join(f"{_MOVED[c]} AS {c}" if c in _MOVED else c for c in _RAW_NAMES) + (
+    " FROM claims_raw WHERE incident_date >= {ntz} '1998-07-01 00:00:00'")
 
 FEATURE_WRITES = """
 SELECT 'claims' AS feature_group, CAST(o_custkey AS VARCHAR(20)) AS entity_id, o_orderdate AS stored_at, o_orderkey AS seq, o_totalprice AS total_claim_amount
@@ -84,7 +85,7 @@ FROM orders
 """
 
 LINEAGE_EDGES = """
-SELECT DISTINCT concat('part:', CAST(l_partkey AS VARCHAR(20))) AS from_node, concat('order:', CAST(l_orderkey AS VARCHAR(20))) AS to_node, 'aggregate' AS transformation
+SELECT concat('part:', CAST(l_partkey AS VARCHAR(20))) AS from_node, concat('order:', CAST(l_orderkey AS VARCHAR(20))) AS to_node, 'aggregate' AS transformation
 FROM lineitem
 """
 
