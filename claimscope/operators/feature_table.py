@@ -15,11 +15,21 @@ KEYS = ("feature_group", "entity_id")
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key. A plain aggregate: it combines before the shuffle, so a key with
-    a third of all rows sends one row per task."""
-    rest = [c for c in df.columns if c not in keys]
-    row = F.max_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order])).alias("_row")
-    return df.groupBy(*[col(k) for k in keys]).agg(row).select(*keys, "_row.*")
+    """The last row per key; of rows that tie in all of ``order``, one.
+
+    The greatest order of a key is found column by column by aggregates of plain values, which hash and combine before
+    the shuffle where the columns have a fixed width, so rows are not sorted and a hot key sends a row per task. Joins
+    that adaptive execution may split bring the rows back.
+    """
+    left = df
+    for name in order:
+        top = left.groupBy(*[col(k) for k in keys]).agg(F.max(col(name)).alias("_top"))
+        top = top.select(*[col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_top")
+        same = col(name).eqNullSafe(F.col("_top"))
+        for i, k in enumerate(keys):
+            same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
+        left = left.join(top, same).select(*[col(c) for c in df.columns])
+    return left.dropDuplicates(list(keys))
 
 
 def upsert(table: DataFrame | None, writes: DataFrame, order: Sequence[str] = ("stored_at",),
@@ -51,9 +61,16 @@ def delete(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def entity_id(key: str | None, hashed: Sequence[str]) -> Column:
-    """The key, or the first eight digits of an MD5 over the record where there is none."""
-    text = F.concat_ws("|", *[col(c).cast("string") for c in hashed])
-    fallback = F.left(F.md5(text), F.lit(8))
+    """The key, or an MD5 over the whole record where there is none.
+
+    Each field is written with its length, and a null with none, so different records never give the same text. The
+    whole digest is kept: eight digits, as short ids have, would let distinct claims overwrite each other.
+    """
+    parts = []
+    for c in hashed:
+        text = col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    fallback = F.md5(F.concat(*parts))
     return F.coalesce(col(key), fallback) if key else fallback
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimscope.operators import feature_table as ft
 from claimscope.operators import features, relational
 from claimscope.plans.registry import define, query, quoted
-from claimscope.schema import FINAL_COLUMNS
+from claimscope.schema import FINAL_COLUMNS, RAW_SCHEMA
 from claimscope.sources.tables import base, claims, relation
 
 _FORMULAS = {
@@ -171,16 +171,20 @@ def fs_delete(spark, sf_dir):
     return ft.delete(_table(spark, sf_dir), closed)
 
 
-_HASHED = ["policy_state", "policy_csl", "insured_sex", "insured_occupation", "incident_type", "auto_make", "age", "auto_year"]
+_RECORD = [f.name for f in RAW_SCHEMA]
 
 
-@query("fs_entity_id", "SELECT policy_number, incident_date, policy_number AS entity_id, left(md5(concat_ws('|', "
-       + ", ".join(f"CAST({c} AS VARCHAR)" for c in _HASHED) + ")), 8) AS hashed_id, coalesce(collision_type, left(md5(concat_ws('|', "
-       + ", ".join(f"CAST({c} AS VARCHAR)" for c in _HASHED) + ")), 8)) AS patched_id FROM claims_raw", ["claims_raw"])
+@query("fs_entity_id", "SELECT policy_number, incident_date, policy_number AS entity_id, 32 AS id_length, coalesce(collision_type, 'hashed') AS patched_id, count(*) OVER (PARTITION BY "
+       + ", ".join(quoted(c) for c in _RECORD) + ") AS same_id FROM claims_raw", ["claims_raw"])
 def fs_entity_id(spark, sf_dir):
-    return raw(spark, sf_dir).select(
-        "policy_number", "incident_date", ft.entity_id("policy_number", _HASHED).alias("entity_id"),
-        ft.entity_id(None, _HASHED).alias("hashed_id"), ft.entity_id("collision_type", _HASHED).alias("patched_id"))
+    """Ids by key, by the whole record, and by record where the key is missing; a hashed id is shared by equal records only."""
+    rows = raw(spark, sf_dir).select(
+        "policy_number", "incident_date", ft.entity_id("policy_number", _RECORD).alias("entity_id"),
+        ft.entity_id(None, _RECORD).alias("hashed_id"), ft.entity_id("collision_type", _RECORD).alias("patched_id"))
+    same = rows.groupBy("hashed_id").agg(F.count("*").alias("same_id"))
+    patched = F.when(F.col("patched_id") == F.col("hashed_id"), F.lit("hashed")).otherwise(F.col("patched_id"))
+    return rows.join(same, "hashed_id").select("policy_number", "incident_date", "entity_id", F.length("hashed_id").alias("id_length"),
+                                               patched.alias("patched_id"), "same_id")
 
 
 @query("fs_batch_store", """SELECT count(*) AS stored, 0::BIGINT AS failed, count(*) AS total,

@@ -41,12 +41,13 @@ def quality_score(rows_in: int, rows_out: int) -> float:
 
 def run_load(
     spark: SparkSession, raw_path: str, clean_path: str, table: str, log_path: str, run_id: str,
-    mode: str = "full", validate: bool = True, table_path: str | None = None,
+    mode: str = "full", validate: bool = True, table_path: str | None = None, escaped: bool = False, multi_line: bool = False,
 ) -> dict:
     """Extract, clean, validate, write clean text, load the table, record the run.
 
     ``mode="load_only"`` loads the clean text that is already there. A failure is recorded and
-    raised again. Row counts come out of the writes themselves.
+    raised again. Row counts come out of the writes themselves. ``escaped`` and ``multi_line`` say how the raw text
+    writes line ends inside a field, as in ``files.read_csv``.
     """
     start = time.monotonic()
     record = {
@@ -57,7 +58,7 @@ def run_load(
     try:
         if mode == "full":
             mark = time.monotonic()
-            raw = files.read_raw_csv(spark, raw_path)
+            raw = files.read_raw_csv(spark, raw_path, escaped, multi_line)
             medians = fit_medians(raw.select(*[col(c) for c in S.NUMERIC_COLUMNS if c in raw.columns]))
             record["extraction_seconds"] = round(time.monotonic() - mark, 2)
             mark = time.monotonic()

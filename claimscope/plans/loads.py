@@ -13,7 +13,7 @@ from claimscope.operators import evaluate, relational, sampling
 from claimscope.operators.clean import fit_medians
 from claimscope.plans import jobs
 from claimscope.plans.registry import CLAIMS_SQL, FILLED_SQL, define, query, quoted, rounded
-from claimscope.session import fresh_dir
+from claimscope.session import cut_lineage, fresh_dir
 from claimscope.sources import files
 from claimscope.sources.tables import claims, relation
 from claimscope.streaming import ingest
@@ -38,7 +38,7 @@ def at():
 def scan_csv_raw(spark, sf_dir):
     path = fresh_dir(spark, "raw_csv")
     files.write_csv(raw(spark, sf_dir), path)
-    return files.read_raw_csv(spark, path)
+    return files.read_raw_csv(spark, path, escaped=True)
 
 
 @query("scan_csv_clean", f"SELECT {_CLEAN_LIST} FROM claims", ["claims"])
@@ -89,10 +89,12 @@ def snapshot_write(spark, sf_dir):
 
 @query("snapshot_restore", f"SELECT {_CLEAN_LIST} FROM claims", ["claims"])
 def snapshot_restore(spark, sf_dir):
+    """A table of some of the claims, replaced by what a snapshot of all of them holds."""
     df = claims(spark, sf_dir).withColumn("id", F.monotonically_increasing_id())
-    path, out = _snapshot(spark, sf_dir, df=df), fresh_dir(spark, "restored")
-    files.restore_snapshot(spark, path, S.CLEAN_SCHEMA, out)
-    return spark.read.parquet(out)
+    path, table = _snapshot(spark, sf_dir, df=df), f"claims_{uuid.uuid4().hex}"
+    files.replace_table(claims(spark, sf_dir).filter("is_fraud = 1"), table, fresh_dir(spark, "before"), numeric=[])
+    files.restore_table(spark, path, S.CLEAN_SCHEMA, table, fresh_dir(spark, "restored"))
+    return spark.table(table)
 
 
 @query("snapshot_verify", f"""SELECT true AS valid, 'claims' AS "table", {_AT} AS "timestamp", count(*) AS row_count FROM claims
@@ -121,17 +123,24 @@ def sink_json_metrics(spark, sf_dir):
     return files.read_json(spark, path, runs.schema)
 
 
-@query("sink_json_lineage", """SELECT 'node' AS kind, count(*) AS n FROM (SELECT DISTINCT node_id FROM lineage_node_writes)
-  UNION ALL SELECT 'edge', count(*) FROM lineage_edges""", ["lineage_node_writes", "lineage_edges"])
+@query("sink_json_lineage", """SELECT 'node' AS kind, node_id AS from_node, NULL AS to_node, name AS detail, source AS run_id, 1::BIGINT AS n FROM lineage_nodes
+  UNION ALL SELECT 'edge', from_node, to_node, transformation, 'r1', count(*) FROM lineage_edges GROUP BY from_node, to_node, transformation
+  UNION ALL SELECT 'edge', from_node, to_node, transformation, 'r2', count(*) FROM lineage_edges WHERE from_node LIKE 'part:1%' GROUP BY from_node, to_node, transformation""",
+       ["lineage_nodes", "lineage_edges"])
 def sink_json_lineage(spark, sf_dir):
+    """Nodes, and the edges that two runs reported, exported and read back."""
     path = fresh_dir(spark, "lineage")
     nodes = relational.upsert_nodes(relation(spark, sf_dir, "lineage_node_writes"))
-    edges = relation(spark, sf_dir, "lineage_edges")
+    edges = relational.append_edges(None, relation(spark, sf_dir, "lineage_edges"), "r1")
+    edges = relational.append_edges(edges, relation(spark, sf_dir, "lineage_edges").filter("from_node LIKE 'part:1%'"), "r2")
     files.append_json(nodes, os.path.join(path, "nodes"))
     files.append_json(edges, os.path.join(path, "edges"))
-    back = {k: files.read_json(spark, os.path.join(path, f"{k}s"), d.schema) for k, d in (("node", nodes), ("edge", edges))}
-    parts = [df.select(F.lit(k).alias("kind"), col(df.columns[0]).alias("id")) for k, df in back.items()]
-    return parts[0].unionByName(parts[1]).groupBy("kind").agg(F.count("id").alias("n"))
+    found = files.read_json(spark, os.path.join(path, "nodes"), nodes.schema).select(
+        F.lit("node").alias("kind"), F.col("node_id").alias("from_node"), F.lit(None).cast("string").alias("to_node"),
+        F.col("name").alias("detail"), F.col("source").alias("run_id"))
+    links = files.read_json(spark, os.path.join(path, "edges"), edges.schema).select(
+        F.lit("edge").alias("kind"), "from_node", "to_node", F.col("transformation").alias("detail"), "run_id")
+    return found.unionByName(links).groupBy("kind", "from_node", "to_node", "detail", "run_id").agg(F.count("*").alias("n"))
 
 
 @query("sink_prediction_log", f"""SELECT policy_number, incident_date, probability, CASE WHEN probability >= 0.35 THEN 1 ELSE 0 END AS prediction,
@@ -153,7 +162,7 @@ def etl_run(spark, sf_dir):
     root = fresh_dir(spark, "load")
     files.write_csv(raw(spark, sf_dir), f"{root}/raw")
     table = f"claims_{uuid.uuid4().hex}"
-    jobs.run_load(spark, f"{root}/raw", f"{root}/clean", table, f"{root}/runs", "r1", table_path=f"{root}/table")
+    jobs.run_load(spark, f"{root}/raw", f"{root}/clean", table, f"{root}/runs", "r1", table_path=f"{root}/table", escaped=True)
     run = jobs.read_runs(spark, f"{root}/runs")
     return run.select("status", "rows_extracted", "rows_transformed", "rows_loaded", "rows_dropped", "data_quality_score",
                       F.size("warnings").alias("warnings"), spark.table(table).select(F.count("*")).scalar().alias("table_rows"))
@@ -186,9 +195,15 @@ def run_state_update(spark, sf_dir):
         "processed_keys", keys.select(F.count("*")).scalar())
 
 
-@query("change_fingerprint")
+@query("change_fingerprint", "SELECT count(*) AS row_count, 1 AS same_in_any_order, 1 AS differs_by_one_value FROM claims_raw", ["claims_raw"])
 def change_fingerprint(spark, sf_dir):
-    return jobs.fingerprint(raw(spark, sf_dir))
+    """Row count, and whether the checksum is the same for the rows in another order and another after one change."""
+    rows = raw(spark, sf_dir)
+    print_now = jobs.fingerprint(rows)
+    again = jobs.fingerprint(rows.repartition(3, "auto_year")).first()["checksum"]
+    changed = jobs.fingerprint(rows.withColumn("age", F.when(F.col("policy_number") == "POL00000001", -1).otherwise(F.col("age")))).first()["checksum"]
+    return print_now.select("row_count", (F.col("checksum") == again).cast("int").alias("same_in_any_order"),
+                            (F.col("checksum") != changed).cast("int").alias("differs_by_one_value"))
 
 
 @query("change_detect", """SELECT 'same' AS source, 1 AS skipped, count(*) AS row_count FROM claims_raw
@@ -265,27 +280,35 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(f"{root}/accepted").drop("batch").withColumn("quarantined", bad.select(F.count("*")).scalar())
 
 
-@query("health_stream", """SELECT s AS window_start, s + INTERVAL 24 HOUR AS window_end, count(*) AS runs,
+@query("health_stream", f"""SELECT s AS window_start, s + INTERVAL 24 HOUR AS window_end, count(*) AS runs,
   count(*) FILTER (status = 'success')::DOUBLE / count(*) AS success_rate,
-  coalesce(CAST(sum(CAST(execution_time_seconds AS DECIMAL(18,4))) AS DOUBLE) / nullif(count(execution_time_seconds), 0), 0) AS avg_execution_time
+  coalesce({rounded('avg(execution_time_seconds)', 10)}, 0) AS avg_execution_time
   FROM (SELECT *, unnest(range(date_trunc('hour', start_time) - INTERVAL 23 HOUR, date_trunc('hour', start_time) + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS s FROM run_log)
-  WHERE s + INTERVAL 24 HOUR <= (SELECT max(start_time) - INTERVAL 2 HOUR FROM run_log) GROUP BY s""", ["run_log"])
+  GROUP BY s""", ["run_log"])
 def health_stream(spark, sf_dir):
     root = fresh_dir(spark, "health")
     events = relation(spark, sf_dir, "run_log").select("run_id", "pipeline_name", F.col("start_time").cast("timestamp").alias("start_time"), "status",
                                                        "execution_time_seconds")
     events.write.parquet(f"{root}/in")
-    stream = ingest.health_windows(ingest.file_stream(spark, f"{root}/in", ingest.RUN_EVENT))
+    stream = ingest.health_hours(ingest.file_stream(spark, f"{root}/in", ingest.RUN_EVENT))
     ingest.run_to_files(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
+    out = ingest.health_windows(spark.read.parquet(f"{root}/out"))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"), "runs",
                       "success_rate", "avg_execution_time")
 
 
 # --- sampling
 
-@query("augment_rows")
+@query("augment_rows", """SELECT policy_number, count(*) AS originals, 1 AS within, 1 AS kept, (SELECT count(*) * 5 // 2 FROM claims_raw) AS total
+  FROM claims_raw GROUP BY policy_number""", ["claims_raw"])
 def augment_rows(spark, sf_dir):
-    """Two and a half times the claims."""
+    """Two and a half times the claims: per key its rows, whether each came two or three times, whether one kept its own age, and all rows."""
     df = raw(spark, sf_dir)
-    return sampling.augment(df, int(df.count() * 5 / 2))
+    grown = cut_lineage(sampling.augment(df, df.count() * 5 // 2), "grown")
+    total = grown.count()
+    before = df.groupBy("policy_number").agg(F.count("*").alias("originals"), F.collect_set(F.coalesce(F.col("age").cast("double"), F.lit(-1.0))).alias("ages"))
+    after = grown.groupBy(F.col("policy_number").alias("_k")).agg(F.count("*").alias("n"), F.collect_set(F.coalesce("age", F.lit(-1.0))).alias("grown_ages"))
+    n, k = F.col("n"), F.col("originals")
+    return before.join(after, F.col("policy_number") == F.col("_k")).select(
+        "policy_number", "originals", n.between(2 * k, 3 * k).cast("int").alias("within"),
+        (F.size(F.array_except("ages", "grown_ages")) == 0).cast("int").alias("kept"), F.lit(total).cast("bigint").alias("total"))

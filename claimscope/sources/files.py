@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,35 +19,63 @@ from claimscope.schema import CLEAN_SCHEMA, LOAD_NUMERIC, NULL_TOKENS, RAW_SCHEM
 _EXACT_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+# Line ends inside a field are written as these, so that every record stays one line and files can be split.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+_BACKSLASH = "\ue000"
+
+
+def _on_one_line(c: Column) -> Column:
+    for plain, written in _ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(written))
+    return c
+
+
+def _as_it_was(c: Column) -> Column:
+    """Undoes ``_on_one_line``: doubled backslashes step aside while the others are read."""
+    c = F.replace(c, F.lit("\\\\"), F.lit(_BACKSLASH))
+    for plain, written in _ESCAPES[1:]:
+        c = F.replace(c, F.lit(written), F.lit(plain))
+    return F.replace(c, F.lit(_BACKSLASH), F.lit("\\"))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, tokens: Sequence[str] = NULL_TOKENS,
+             escaped: bool = False, multi_line: bool = False) -> DataFrame:
     """Headered text as typed columns, matched to ``schema`` by name; columns it lacks stay text.
 
     Blank and ``NA``-like text is null, and so is text that does not parse as its type: fields
     are read as text, then tried as the declared type. Types are not inferred, which would cost
     a second pass over the files.
+
+    ``escaped`` reads files of ``write_csv``, in which a field's line ends are written as backslash letters. Files of
+    others that have line ends inside quotes need ``multi_line``; Spark then reads a file in one task, so it is not the
+    default.
     """
     rows = (
-        spark.read.option("header", True).option("escape", '"').option("nullValue", "")
+        spark.read.option("header", True).option("escape", '"').option("nullValue", "").option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
     types = {f.name: f.dataType for f in schema}
-    return rows.select(*[
-        normalise_nulls(col(c), tokens).try_cast(types.get(c, T.StringType())).alias(c) for c in rows.columns
-    ])
 
+    def field(name: str) -> Column:
+        text, kind = normalise_nulls(col(name), tokens), types.get(name, T.StringType())
+        return _as_it_was(text) if escaped and isinstance(kind, T.StringType) else text.try_cast(kind)
+
+    return rows.select(*[field(c).alias(c) for c in rows.columns])
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, RAW_SCHEMA)
+
+def read_raw_csv(spark: SparkSession, path: str, escaped: bool = False, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, RAW_SCHEMA, escaped=escaped, multi_line=multi_line)
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Cleaned text back; groups outside the bins come back as null."""
-    return read_csv(spark, path, CLEAN_SCHEMA)
+    """Cleaned text, as ``write_csv`` left it; groups outside the bins come back as null."""
+    return read_csv(spark, path, CLEAN_SCHEMA, escaped=True)
 
 
 def write_csv(df: DataFrame, path: str) -> int:
-    """Write with a header and without an index; the row count comes from the same pass."""
-    counted, done = count_rows(df)
+    """Write with a header and without an index; the row count comes from the same pass. Every record is one line."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    counted, done = count_rows(df.withColumns({c: _on_one_line(col(c)) for c in texts}) if texts else df)
     (counted.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).options(**_EXACT_TIME).csv(path))
     return done.get["rows"]
@@ -121,6 +150,20 @@ def restore_snapshot(spark: SparkSession, path: str, schema: T.StructType, out:
     return done.get["rows"]
 
 
+def restore_table(spark: SparkSession, path: str, schema: T.StructType, table: str, out: str) -> int:
+    """Restore a snapshot to the folder ``out`` and make it the rows of ``table``, which may be there already.
+
+    The table moves to the new folder in one step after the write is complete; a restore that fails leaves it as it was.
+    """
+    rows = restore_snapshot(spark, path, schema, out)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{out}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=out, source="parquet")
+    return rows
+
+
 def verify_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """``valid, table, timestamp, row_count`` of a snapshot; unreadable is not valid.
 
@@ -134,7 +177,7 @@ def verify_snapshot(spark: SparkSession, path: str) -> DataFrame:
         stated = spark.read.schema(MANIFEST).options(**_EXACT_TIME).json(os.path.join(path, "manifest"))
         if stated.first() is None:
             return spark.sql(blank)
-    except Exception:  # a damaged folder is the finding
+    except AnalysisException:  # a damaged folder is the finding; a lost executor is not
         return spark.sql(blank)
     return stated.select((F.col("row_count") == found).alias("valid"), "table", "timestamp", F.lit(found).cast("bigint").alias("row_count"))
 

@@ -3,31 +3,37 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from claimscope.operators.clean import transform_claims
 from claimscope.session import fresh_dir
-from claimscope.sources.relations import RELATIONS, for_spark
+from claimscope.sources.relations import BASE_TABLES, RELATIONS, for_spark
 
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple, str] = {}
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores is dealt out over all cores; a larger one stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def folder_state(spark: SparkSession, sf_dir: str, names: Iterable[str] = BASE_TABLES) -> int:
+    """Number that changes when a file of the named tables does: names, sizes and times of their files, from the listing."""
+    out = 0
+    for name in names:
+        place = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(place):
+            for f in system.listStatus(place):
+                out = hash((out, f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return out
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Written once per application and input folder to the shared folder, then scanned with
+    """Written once per application and state of the input folder to the shared folder, then scanned with
     column pruning and filter pushdown by every query that needs it."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, sf_dir, name, folder_state(spark, sf_dir))
     if key not in _staged:
         path = fresh_dir(spark, name)
         build().write.parquet(path)
@@ -43,7 +49,7 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw claims, standing for the feed the load job reads. They come out of a join, and
     most queries pass over them more than once, so the join runs once and its rows are stored."""
     return _stage(spark, sf_dir, "claims_raw", lambda: _derive(
-        spark, sf_dir, "claims_raw", orders=_spread(base(spark, sf_dir, "orders")), customer=base(spark, sf_dir, "customer")))
+        spark, sf_dir, "claims_raw", orders=base(spark, sf_dir, "orders"), customer=base(spark, sf_dir, "customer")))
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:

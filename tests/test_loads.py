@@ -98,3 +98,60 @@ def test_stream_equals_batch_and_reads_each_file_once(spark, sf_dir, tmp_path):
     got = spark.read.parquet(f"{root}/ok").drop("batch")
     assert got.count() == want.count() and want.exceptAll(got).count() == 0
     assert spark.read.parquet(f"{root}/bad").count() == bad.count()
+
+
+def test_csv_round_trip_of_awkward_text(spark, tmp_path):
+    texts = ['a\nb', 'quote " and, comma', "back\\slash \\n kept", "end\r\n", "\\", " lead", 'mix "\n",\\r']
+    df = spark.createDataFrame([(t, float(i)) for i, t in enumerate(texts)], "policy_number string, total_claim_amount double")
+    assert files.write_csv(df.repartition(2), str(tmp_path / "own")) == len(texts)
+    back = files.read_raw_csv(spark, str(tmp_path / "own"), escaped=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == [(t, float(i)) for i, t in enumerate(texts)]
+    (tmp_path / "other.csv").write_text('policy_number,age\n"P\n1",30\nP2,40\n')
+    rows = files.read_raw_csv(spark, str(tmp_path / "other.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("P\n1", 30), ("P2", 40)]
+
+
+def test_null_keys_are_loaded_once(spark, sf_dir, tmp_path):
+    root, raw = str(tmp_path), raw_claims(spark, sf_dir).limit(40)
+    raw = raw.withColumn("policy_number", F.when(F.col("age") % 2 == 0, F.col("policy_number"))).cache()
+    medians = fit_medians(raw, S.NUMERIC_COLUMNS)
+    for source in (raw, raw.withColumn("auto_year", F.lit(1999)), raw.withColumn("auto_year", F.lit(2000))):
+        jobs.run_incremental(spark, source, f"{root}/table", f"{root}/control", f"{root}/keys", medians, at())
+    assert raw.filter("policy_number IS NULL").count() > 0
+    assert spark.read.parquet(f"{root}/table").count() == raw.count()
+
+
+def test_restore_swaps_the_table(spark, sf_dir, tmp_path):
+    root, raw = str(tmp_path), raw_claims(spark, sf_dir)
+    path = files.write_snapshot(raw, root, "one", "t_swap", at())
+    files.replace_table(raw.limit(3), "t_swap", f"{root}/before", numeric=[])
+    assert files.restore_table(spark, path, raw.schema, "t_swap", f"{root}/after") == raw.count() == spark.table("t_swap").count()
+    with pytest.raises(Exception):
+        files.restore_table(spark, f"{root}/none", raw.schema, "t_swap", f"{root}/third")
+    assert spark.table("t_swap").count() == raw.count()
+
+
+def test_failure_text_is_kept_whole(spark, tmp_path, monkeypatch):
+    text = "x" * 5000
+
+    def fail(*args, **kwargs):
+        raise ValueError(text)
+
+    monkeypatch.setattr(files, "read_raw_csv", fail)
+    with pytest.raises(ValueError):
+        jobs.run_load(spark, "none", f"{tmp_path}/clean", "t_none", f"{tmp_path}/runs", "r1")
+    assert jobs.read_runs(spark, f"{tmp_path}/runs").first()["errors"] == [text]
+
+
+def test_late_events_change_the_windows_they_are_in(spark, tmp_path):
+    root, form = str(tmp_path), "run_id bigint, pipeline_name string, start_time timestamp, status string, execution_time_seconds double"
+    for n, rows in enumerate(([(1, "a", "2024-01-01 00:10:00", "success", 0.00004), (2, "a", "2024-01-01 01:00:00", "failed", 1e15)],
+                              [(3, "a", "2024-01-01 00:20:00", "success", 0.00004)])):
+        df = spark.createDataFrame(rows, "run_id bigint, pipeline_name string, t string, status string, execution_time_seconds double")
+        df.select("run_id", "pipeline_name", F.to_timestamp("t").alias("start_time"), "status", "execution_time_seconds").write.parquet(f"{root}/in/n={n}")
+        hours = ingest.health_hours(ingest.file_stream(spark, f"{root}/in", form))
+        ingest.run_to_files(hours, f"{root}/out", f"{root}/cp").awaitTermination()
+    rows = {r["window_end"].isoformat(): r for r in ingest.health_windows(spark.read.parquet(f"{root}/out")).collect()}
+    first, last = rows[min(rows)], rows[max(rows)]
+    assert first["runs"] == 2 and first["avg_execution_time"] == pytest.approx(0.00004) and last["runs"] == 1 and last["success_rate"] == 0
+    assert len(rows) == 25

@@ -196,3 +196,79 @@ def test_small_ensemble_trains_stores_and_scores(spark, sf_dir, tmp_path):
     assert folds.count() == 3 and folds.agg(F.min("auc")).first()[0] > 0.6
     with pytest.raises(FileNotFoundError):
         model.load(spark, os.path.join(str(tmp_path), "absent"))
+
+
+def upper_tail(x: float, df: int) -> float:
+    """Of the chi-square distribution with an even number of degrees: a sum of Poisson weights, taken from their greatest."""
+    mean, a = x / 2, df // 2
+    mode = int(mean)
+    below, above, term = 0.0, 0.0, 1.0
+    for k in range(mode, max(mode - 60 * int(mean ** 0.5 + 10), -1), -1):
+        below, above = (below + term, above) if k < a else (below, above + term)
+        term *= k / mean
+    term = 1.0
+    for k in range(mode + 1, mode + 60 * int(mean ** 0.5 + 10)):
+        term *= mean / k
+        below, above = (below + term, above) if k < a else (below, above + term)
+    return below / (below + above)
+
+
+@pytest.mark.parametrize(("x", "df"), [(80.0, 2), (3.0, 4), (30.0, 10), (100.0, 60), (61.0, 60), (400_000.0, 400_000), (401_000.0, 400_000), (1_000_000.0, 1_000_000), (997_000.0, 1_000_000)])
+def test_chi_square_tail(spark, x, df):
+    got = spark.range(1).select(chi_square_pvalue(F.lit(x), F.lit(df))).first()[0]
+    assert got == pytest.approx(upper_tail(x, df), rel=1e-9, abs=1e-12)
+    if df == 2:
+        assert got == pytest.approx(math.exp(-x / 2), rel=1e-12)
+
+
+def test_keys_of_one_prefix_spread_over_the_ranges(spark):
+    from claimscope.functions.order import running_totals
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keys = spark.range(100_000).select(F.concat(F.lit("POL00000000"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("key"), F.lit(1).alias("one"))
+        out = running_totals(keys, "key", ["one"])
+        assert out.filter("one_upto <> cast(substr(key, 12) as int) + 1").count() == 0
+        ranges = keys.repartitionByRange("key").groupBy(F.spark_partition_id()).count()
+        assert ranges.count() >= 32 and ranges.agg(F.max("count")).first()[0] < 5 * 100_000 / 64
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_missed_bracket_is_looked_for_again(spark, monkeypatch):
+    from claimscope.functions import order
+
+    plain, calls = order._sketch, []
+
+    def misled(values, parts, shares):
+        out = plain(values, parts, shares)
+        calls.append(len(shares))
+        if len(calls) <= 2:  # the first brackets, and the first narrowing, lie beside the rank
+            out = {k: (n, c, [e + 1000.0 if i < len(q) - 2 else e for i, e in enumerate(q)]) for k, (n, c, q) in out.items()}
+        return out
+
+    monkeypatch.setattr(order, "_sketch", misled)
+    df = spark.range(20_001).select((F.col("id") * 7919 % 20_001).cast("double").alias("x"))
+    assert order.exact_percentiles(df, {"x": F.col("x")}, [0.5], most_inside=500) == {"x": [10_000.0]}
+    assert len(calls) > 2
+
+
+def test_last_write_wins_without_a_sort(spark):
+    rows = [("g", "a", i, j, f"{i}{j}") for i in range(3) for j in range(3)] + [("g", None, 1, None, "n"), (None, "a", None, 1, "x"), (None, "a", 0, 0, "y")]
+    df = spark.createDataFrame(rows, "feature_group string, entity_id string, at int, seq int, v string")
+    out = feature_table.latest(df, ["feature_group", "entity_id"], ["at", "seq"])
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted([("g", "a", 2, 2, "22"), ("g", None, 1, None, "n"), (None, "a", 0, 0, "y")], key=repr)
+
+
+def test_ids_of_records_differ_where_the_records_do(spark):
+    df = spark.createDataFrame([("a|b", None), ("a", "b"), (None, "a|b"), ("ab", ""), ("", "ab"), ("a", "b")], "x string, y string")
+    ids = [r[0] for r in df.select(feature_table.entity_id(None, ["x", "y"])).collect()]
+    assert len(set(ids)) == 5 and ids[1] == ids[5] and all(len(i) == 32 for i in ids)
+
+
+def test_sums_of_small_and_large_amounts(spark):
+    df = spark.createDataFrame([(0.00004,), (0.00004,), (1e15,)], "x double")
+    assert df.limit(2).agg(rates.money("x", 6)).first()[0] == 0.00008 and df.agg(rates.money("x")).first()[0] == 1e15

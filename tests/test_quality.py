@@ -47,12 +47,14 @@ RECORD = "policy_number string, months_as_customer string, age int, policy_state
 
 
 @pytest.mark.parametrize(("row", "error"), [
-    (("POL1", "24", 35, "OH", 1500.0, 5000.0, "Minor Damage"), None),
+    (("POL1", None, 35, "OH", 1500.0, 5000.0, "Minor Damage"), None),
+    (("POL1", None, 35, "OH", float("nan"), 5000.0, "Minor Damage"), None),
+    (("POL1", "24", 35, "OH", 1500.0, 5000.0, None), "Field months_as_customer must be numeric"),
     (("POL1", None, None, "", 1500.0, 5000.0, None), None),
-    (("POL1", "24", 35, "INVALID", -1.0, 5000.0, "x"), "Invalid policy_state: INVALID"),
-    (("POL1", "24", 35, None, 1.0, 5000.0, "Bad"), "Invalid incident_severity: Bad"),
+    (("POL1", None, 35, "INVALID", -1.0, 5000.0, "x"), "Invalid policy_state: INVALID"),
+    (("POL1", None, 35, None, 1.0, 5000.0, "Bad"), "Invalid incident_severity: Bad"),
     (("POL1", "abc", -1, "OH", 1.0, 5000.0, None), "Field months_as_customer must be numeric"),
-    (("POL1", "1", 35, "OH", -100.0, 5000.0, None), "Field policy_annual_premium must be non-negative"),
+    (("POL1", None, 35, "OH", -100.0, 5000.0, None), "Field policy_annual_premium must be non-negative"),
 ])
 def test_contract_first_error(spark, row, error):
     out = contract.validate_records(spark.createDataFrame([row], RECORD)).first()
@@ -62,8 +64,27 @@ def test_contract_first_error(spark, row, error):
 def test_contract_missing_field_and_version(spark, dirty):
     assert contract.validate_records(dirty).first()["error"] == "Missing required field: policy_state"
     assert contract.validate_records(dirty, "v9").first()["error"] == "Unknown schema version: v9"
-    with pytest.raises(KeyError):
-        contract.compare_schema(dirty, "v9")
+    row = contract.compare_schema(dirty, "v9").first()
+    assert (row["field"], row["actual"], row["ok"]) == ("version", "v9", 0)
+
+
+def test_schema_check_knows_the_symbols(spark):
+    df = spark.createDataFrame([("OH", "M"), ("XX", None)], "policy_state string, insured_sex string")
+    rows = {r["field"]: r for r in contract.compare_schema(df).collect()}
+    assert (rows["policy_state"]["unknown_symbols"], rows["policy_state"]["ok"]) == (1, 0)
+    assert (rows["insured_sex"]["unknown_symbols"], rows["insured_sex"]["nulls"], rows["insured_sex"]["ok"]) == (0, 1, 0)
+
+
+def test_rules_on_absent_columns_fail(spark):
+    df = spark.createDataFrame([(1,), (200,)], "age int")
+    rules = [quality.not_null("policy_number"), quality.between("age", 18, 100), quality.at_most_long("auto_make", 3)]
+    rows = {r["rule"]: r for r in quality.suite(df, rules).collect()}
+    assert [rows[r.name]["success"] for r in rules] == [0, 0, 0] and rows["policy_number_null"]["violations"] == 2
+    assert all((r["suite_success"], r["evaluated"], r["successful"]) == (0, 3, 0) for r in rows.values())
+    empty = spark.createDataFrame([], "other int")
+    assert [r["success"] for r in quality.run_rules(empty, rules).collect()] == [0, 0, 0]
+    assert "is missing" in quality.run_rules(empty, rules).first()["message"]
+    assert quality.run_rules(empty, rules, absent_fails=False).count() == 0 and quality.run_rules(empty, []).count() == 0
 
 
 def test_enrich_and_split(spark):
