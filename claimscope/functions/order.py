@@ -107,20 +107,23 @@ def _sketch(
 ) -> dict[int, tuple[int, int, list[float]]]:
     """Per part, from its ``(value, count)`` columns: values seen, the count's sum, quantiles.
 
-    Sketches are merged in steps of at most ``_SKETCH_GROUPS`` groups, so no single task takes in one per input task:
-    as many groups at first as the root of the number of input tasks asks for.
+    Sketches are merged in three steps, at first in up to the square of ``_SKETCH_GROUPS`` groups and then in
+    ``_SKETCH_GROUPS``, so no single task takes in one sketch per input task.
     """
     keys = list(parts)
-    groups = max(_SKETCH_GROUPS, ceil(values.rdd.getNumPartitions() ** 0.5))
     rows = values.select(
-        (F.spark_partition_id() % groups).alias("group"),
+        (F.spark_partition_id() % _SKETCH_GROUPS**2).alias("group"),
         *[x for j, k in enumerate(keys) for x in (parts[k][0].alias(f"x{j}"), parts[k][1].alias(f"c{j}"))])
     some = rows.groupBy("group").agg(*[
         x for j in range(len(keys))
         for x in (F.kll_sketch_agg_double(f"x{j}", F.lit(_SKETCH_K)).alias(f"k{j}"), F.sum(f"c{j}").alias(f"c{j}"))])
-    merged = some.agg(*[
-        x for j in range(len(keys))
-        for x in (F.kll_merge_agg_double(f"k{j}", F.lit(_SKETCH_K)).alias(f"k{j}"), F.coalesce(F.sum(f"c{j}"), F.lit(0)).alias(f"c{j}"))])
+
+    def merge(grouped) -> DataFrame:
+        return grouped.agg(*[
+            x for j in range(len(keys))
+            for x in (F.kll_merge_agg_double(f"k{j}", F.lit(_SKETCH_K)).alias(f"k{j}"), F.coalesce(F.sum(f"c{j}"), F.lit(0)).alias(f"c{j}"))])
+
+    merged = merge(merge(some.groupBy((F.col("group") % _SKETCH_GROUPS).alias("group"))).groupBy())
     seen = merged.withColumns({f"n{j}": F.coalesce(F.kll_sketch_get_n_double(f"k{j}"), F.lit(0)) for j in range(len(keys))})
     wanted = F.array(*[F.lit(s) for s in shares])
     row = seen.select(

@@ -41,3 +41,8 @@ def test_retention_limits_each_task_before_the_shuffle(spark, sf_dir):
 
 def test_top_k_is_not_a_full_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(QUERIES["agg_top_makes"](spark, sf_dir))
+
+
+def test_last_write_wins_without_sorting_rows(spark, sf_dir):
+    text = plan(QUERIES["fs_upsert"](spark, sf_dir))
+    assert "SortAggregate" not in text and "HashAggregate" in text
