@@ -195,7 +195,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sketch", b * BAND + 1, BAND)) for b in range(BANDS)])
     banded = first.select("node", F.explode(keys).alias("key"))
     least = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("_most")).where("a <> _most").select("key", "a")
-    pairs = banded.join(least, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    pairs = banded.join(least.hint("merge"), "key").where("node <> a").select("a", F.col("node").alias("b"))
     grouped = stored(components(pairs).withColumnRenamed("component", "comp"), "near-groups")
 
     sizes = grouped.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
@@ -204,7 +204,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     dealt = dealt.select("comp", "node", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     tasks = dealt.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
-    work = texts.join(tasks, texts["doc"] == tasks["node"]).select("comp", "i", "j", "block", "node", "text")
+    # dealt by id whatever the size of the groups, so that the plan, and what it moves, does not jump at some size
+    work = texts.join(tasks.hint("merge"), texts["doc"] == tasks["node"]).select("comp", "i", "j", "block", "node", "text")
     spread = work.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node")
     found = stored(spread.mapInArrow(_resolved(shingle, percent), "a long, b long"), "near-links")
 
