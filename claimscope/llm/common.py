@@ -53,35 +53,29 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: dict[str, Column],
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node``, ``component``: for every node of ``edges``, the smallest node it is connected with, itself included.
 
-    Alternating large and small stars: every round is a min aggregate, which combines before the shuffle, and a join,
-    which adaptive execution splits where a node is hot; the number of rounds grows with the logarithm of the longest
-    path. Rounds end when a round changes no edge. Null ends and loops are left out.
+    Alternating large and small stars: every round is two min aggregates, which combine before the shuffle, and two
+    joins, which adaptive execution splits where a node is hot; the number of rounds grows with the logarithm of the
+    longest path. Rounds end when every node hangs on one other that hangs on none. Null ends and loops are left out.
     """
     def star(e: DataFrame, both: bool) -> DataFrame:
-        pairs = e.select(F.col("u"), F.col("v"))
-        if both:
-            pairs = pairs.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        pairs = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both else e
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u"), F.least("u", "m").alias("m"))
         met = pairs.join(least, "u")
         if both:
             out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
-            out = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
-                least.select(F.col("u"), F.col("m").alias("v")))
-        return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-    def mark(e: DataFrame) -> tuple:
-        row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return tuple(row)
-
-    start = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    current = stored(start, "edges")
-    last = mark(current)
-    while last[0]:
-        current = stored(star(star(current, True), False), "edges")
-        now = mark(current)
-        if now == last:
-            break
-        last = now
-    return current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionAll(
+            out = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
+        return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+
+    def finished(e: DataFrame) -> bool:
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionAll(
+            e.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        at = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        return at.where("below > 1 OR (below = 1 AND above = 1)").isEmpty()
+
+    start = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    current = stored(start.distinct(), "edges")
+    while not finished(current):
+        current = stored(star(star(current, True), False).distinct(), "edges")
+    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
