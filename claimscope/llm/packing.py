@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -80,13 +81,12 @@ class BpeEncoder:
         return self._chunks(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
 
 
-_encoders: dict[str, BpeEncoder] = {}
-
-
 def encoder(path: str) -> BpeEncoder:
-    if path not in _encoders:
-        _encoders[path] = BpeEncoder(path)
-    return _encoders[path]
+    """One encoder for each file and process. It is kept with the interpreter: this function comes anew with each task."""
+    known = sys.__dict__.setdefault("_bpe_encoders", {})
+    if path not in known:
+        known[path] = BpeEncoder(path)
+    return known[path]
 
 
 def piece_bounds(tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
