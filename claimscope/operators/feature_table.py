@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimscope.functions.columns import col
 from claimscope.operators.features import feature_rows
@@ -14,22 +15,47 @@ from claimscope.schema import FEATURE_TTL_SECONDS
 KEYS = ("feature_group", "entity_id")
 
 
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_SHORT = (T.IntegerType, T.ShortType, T.ByteType)
+
+
+def _order_code(df: DataFrame, order: Sequence[str]) -> tuple[Column | None, int]:
+    """One decimal that grows with the leading columns of ``order``, and how many those are: a time or short number, then
+    perhaps another number or time. Nulls come first."""
+    def whole(name: str) -> Column:
+        c = col(name)
+        return F.unix_micros(c.cast("timestamp")) if isinstance(df.schema[name].dataType, _TIMES) else c.cast("bigint")
+
+    if not order or not isinstance(df.schema[order[0]].dataType, (*_TIMES, *_SHORT)):
+        return None, 0
+    code = F.coalesce(whole(order[0]), F.lit(-(4 * 10**18))).cast("decimal(38,0)")
+    if len(order) < 2 or not isinstance(df.schema[order[1]].dataType, (*_TIMES, *_SHORT, T.LongType)):
+        return code, 1
+    low = F.coalesce(whole(order[1]).cast("decimal(20,0)") + F.lit(str(2**63 + 1)).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return (code * F.lit(str(2**64 + 1)).cast("decimal(20,0)") + low).cast("decimal(38,0)"), 2
+
+
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key; of rows that tie in all of ``order``, one.
 
-    The greatest order of a key is found column by column by aggregates of plain values, which hash and combine before
-    the shuffle where the columns have a fixed width, so rows are not sorted and a hot key sends a row per task. Joins
-    that adaptive execution may split bring the rows back.
+    The greatest order of a key is an aggregate of one fixed-width number, which hashes and combines before the shuffle:
+    writes are not sorted, and a hot key sends a row per task. A join brings the rows back; what further columns
+    must decide concerns the few rows left.
     """
+    code, used = _order_code(df, order)
     left = df
-    for name in order:
-        top = left.groupBy(*[col(k) for k in keys]).agg(F.max(col(name)).alias("_top"))
-        top = top.select(*[col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_top")
-        same = col(name).eqNullSafe(F.col("_top"))
+    if code is not None:
+        coded = df.withColumn("_code", code)
+        top = coded.groupBy(*[col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_code").alias("_top"))
+        same = F.col("_code") == F.col("_top")
         for i, k in enumerate(keys):
             same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
-        left = left.join(top, same).select(*[col(c) for c in df.columns])
-    return left.dropDuplicates(list(keys))
+        left = coded.join(top, same).select(*[col(c) for c in df.columns])
+    if used == len(order):
+        return left.dropDuplicates(list(keys))
+    rest = [c for c in df.columns if c not in keys]
+    row = F.max_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order[used:]])).alias("_row")
+    return left.groupBy(*[col(k) for k in keys]).agg(row).select(*keys, "_row.*")
 
 
 def upsert(table: DataFrame | None, writes: DataFrame, order: Sequence[str] = ("stored_at",),
