@@ -187,14 +187,15 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("doc"), F.col(f"`{text_col}`").alias("text"))
     rows = stored(texts.mapInArrow(_sketched(shingle), "doc long, n long, s1 long, s2 long, sketch binary"), "near-sketches")
-    equal = rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("node"))
+    # stored, so that the joins with it start from plain shuffles, which adaptive execution splits where a set is hot
+    equal = stored(rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("node")), "near-sets")
     mapped = stored(rows.select("doc", "n", "s1", "s2").join(equal, ["s1", "s2"], "left").select(
         "doc", "n", F.coalesce("node", "doc").alias("node")), "near-nodes")
 
     first = rows.where("n > 0").join(equal, ["s1", "s2"]).where("doc = node")
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sketch", b * BAND + 1, BAND)) for b in range(BANDS)])
     banded = first.select("node", F.explode(keys).alias("key"))
-    least = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("_most")).where("a <> _most").select("key", "a")
+    least = stored(banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("_most")).where("a <> _most").select("key", "a"), "near-buckets")
     pairs = banded.join(least.hint("merge"), "key").where("node <> a").select("a", F.col("node").alias("b"))
     grouped = stored(components(pairs).withColumnRenamed("component", "comp"), "near-groups")
 
