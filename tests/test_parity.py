@@ -8,7 +8,7 @@ import __spark_entry__ as entry_point
 from check import compare, connect
 
 TRAINING = {"cv_auc", "train_ensemble", "train_forest_fallback", "train_metrics", "topk_importance",
-            "importance_global", "model_store", "score_claims"}
+            "importance_global", "model_store", "score_claims", "stream_score"}
 
 
 @pytest.fixture(scope="module")
