@@ -267,14 +267,21 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = stored(texts.join(F.broadcast(picked), "doc").select("label", "text"), "toxic-sample")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+
+        def handed_on() -> pa.RecordBatch:
+            cols = list(zip(*seen, strict=True)) or [[]] * 3
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.int64()), strict=True)], ["word", "toxic", "context"])
+
         for batch in batches:
-            seen = set()
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = WORDS.findall((text or "").lower())
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = WORDS.findall((text.as_py() or "").lower())
                 for before, word, after in zip(["", *words], words, [*words[1:], ""], strict=False):
                     seen.add((word, label == 1, xxhash.xxh3_64_intdigest(f"{before} {after}") >> 1))
-            cols = list(zip(*seen, strict=True)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.int64()), strict=True)], ["word", "toxic", "context"])
+                if len(seen) > 100_000:
+                    yield handed_on()
+        yield handed_on()
 
     met = sample.mapInArrow(contexts, "word string, toxic boolean, context long").distinct()
     by_word = stored(met.groupBy("word").agg(F.count(F.when(F.col("toxic"), 1)).alias("pos"), F.count(F.when(~F.col("toxic"), 1)).alias("neg")), "toxic-words")
