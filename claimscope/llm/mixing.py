@@ -69,7 +69,7 @@ def _cut(ranked: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5,
-        weights: Sequence[float] = (5, 2, 1), cap: float = 2.0, seed: int = 7) -> DataFrame:
+        weights: Sequence[float] = (5, 2, 1), cap: float = 2.0, seed: int = 7, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target``, ``copies``, ``taken``.
 
     ``target / source_size`` copies are due to each document. Its whole part is certain; the fraction p is an inclusion
@@ -81,9 +81,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Null texts have no words; a null source is a source of its own, last in order; null ids draw one shared number.
     Rows that repeat an id share a draw and stand on the same side of the cut, each counting its words. Documents
     without words, and sources with none but such, take part and add nothing. Extra columns are not read. An empty
-    table gives an empty result.
+    table gives an empty result. ``row_col``, a column with a number of its own for each row, comes first in the result.
     """
-    rows = stored(docs.select(
+    row = F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()
+    rows = stored(docs.select(row.alias("row"),
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"),
         uniform(F.col(f"`{id_col}`"), seed).alias("u")), "mix-sizes")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, weights, cap)
@@ -109,5 +110,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     best = F.col("rank").eqNullSafe(F.col("extra_rank")) & F.col("id").eqNullSafe(F.col("extra_id"))
     drawn = (F.col("p") > 0) & (F.col("cut_rank").isNull() | ~F.coalesce(after, F.lit(True)) | best)
     copies = F.col("certain") + F.coalesce(drawn, F.lit(False)).cast("int")
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", copies.alias("copies"),
+    shown = [F.col("row").alias(row_col)] if row_col else []
+    return out.select(*shown, F.col("id").alias(id_col), "source", "size", "source_size", "target", copies.alias("copies"),
                       (F.col("size") * copies).alias("taken"))

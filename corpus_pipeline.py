@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimscope.llm.common import stored, table
 from claimscope.llm.line_dedup import dedup_lines
@@ -18,8 +18,6 @@ from claimscope.llm.packing import pack
 from claimscope.llm.queries import tokenizer_path
 from claimscope.llm.toxicity import learn, score_toxicity
 
-_LAST = (1 << 63) - 1
-
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The rows under names that no operator uses, and the new name of each column."""
@@ -31,9 +29,9 @@ def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"_c{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
-def _keyed(rows: DataFrame, name: str) -> DataFrame:
-    """With ``_key``: the id, and one key for all rows without an id."""
-    return rows.withColumn("_key", F.coalesce(F.col(name).cast("long"), F.lit(_LAST)))
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """With ``_row``: a number of its own for each row, which stays with it. Ids may be null or come twice."""
+    return stored(rows.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,22 +52,26 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, by five-word shingles at 0.8, the smallest id stays; of rows that repeat an id, the
-    one whose text comes first."""
+    """Of each group of near copies, by five-word shingles at 0.8, the row with the smallest id stays.
+
+    Every row is a document of its own, whether or not its id is null or comes again: null ids come after all others, and
+    of rows that are copies and share an id the one whose text has the smallest hash stays. Texts without words are no copies and stay.
+    """
     rows, names = _plain(docs)
-    found = near_dedup(rows, names["doc_id"], names["text"])
-    stay = _keyed(found.where("kept"), names["doc_id"]).select("_key").distinct()
-    kept = _keyed(rows, names["doc_id"]).join(stay, "_key", "left_semi")
-    first = F.row_number().over(W.partitionBy("_key").orderBy(F.col(names["text"]).asc_nulls_last()))
-    return _back(kept.withColumn("_n", first).where("_n = 1"), docs)
+    rows = _numbered(rows, "near-rows")
+    found = near_dedup(rows, "_row", names["text"]).select("_row", "component_id")
+    doc_id = F.col(names["doc_id"]).cast("long")
+    place = F.struct(doc_id.isNull().alias("_null"), doc_id.alias("_id"), F.xxhash64(names["text"]).alias("_hash"), "_row")
+    first = found.join(rows.select("_row", place.alias("_place")), "_row").groupBy("component_id").agg(F.min("_place").alias("_first"))
+    return _back(rows.join(first.select("_first._row"), "_row", "left_semi"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix doesn't take go; those that it takes twice come twice."""
+    """Documents that the mix doesn't take go; those that it takes twice come twice. Each row follows its own place in the mix."""
     rows, names = _plain(docs)
-    taken = _keyed(mix(rows, names["doc_id"], names["text"], names["source"]), names["doc_id"])
-    copies = taken.groupBy("_key").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    found = _keyed(rows, names["doc_id"]).join(copies, "_key")
+    rows = _numbered(rows, "mix-rows")
+    taken = mix(rows, names["doc_id"], names["text"], names["source"], row_col="_row").where("copies > 0")
+    found = rows.join(taken.select("_row", F.col("copies").alias("_copies")), "_row")
     return _back(found.withColumn("_n", F.explode(F.sequence(F.lit(1), "_copies"))), docs)
 
 

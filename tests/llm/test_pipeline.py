@@ -43,6 +43,34 @@ def test_stages_on_odd_rows(spark, odd, sf_dir):
     assert Counter(i for i, _ in pairs(pipeline.mix_sources(spark, ids, sf_dir))) == want
 
 
+def kept_by_row(rows):
+    """What five-word near dedup keeps where every row is a document; null ids come last."""
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    return sorted((rows[r[0]] for r in brute.near([(n, t) for n, (_, t) in enumerate(rows)], 5) if r[3]), key=repr)
+
+
+def test_near_copies_go_row_by_row(spark, odd, sf_dir):
+    assert sorted(pairs(pipeline.drop_near_copies(spark, odd, sf_dir)), key=repr) == kept_by_row(pairs(odd))
+    copy, own = "a copy of the very first document of this table", "zebras hold a text that no other row of it has"
+    rows = [(1, copy), (5, copy), (5, own), (5, own), (None, copy.upper()), (None, None)]
+    rows += [(None, f"document {n} without an id has words{n} and more{n} of its{n} own{n}") for n in range(20)]
+    docs = spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, source string")
+    found = sorted(pairs(pipeline.drop_near_copies(spark, docs, sf_dir)), key=repr)
+    assert found == kept_by_row(rows) and len(found) == 23
+
+
+def test_mixed_rows_follow_their_own_source(spark, sf_dir):
+    docs = spark.createDataFrame([(None if n % 2 else 3, f"text {n} {'w ' * (n % 7)}", s) for s, k in (("a", 4), ("b", 40), ("c", 40)) for n in range(k)],
+                                 "doc_id long, text string, source string")
+    want = Counter()
+    for r in mix(docs).collect():
+        want[r["source"]] += r["taken"]
+    found = Counter()
+    for r in pipeline.mix_sources(spark, docs, sf_dir).collect():
+        found[r["source"]] += len(r["text"].split())
+    assert +found == +want
+
+
 def test_the_whole_run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     clean = pipeline.drop_toxic(spark, docs, sf_dir)
