@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,7 +30,8 @@ def byte_symbols() -> dict[str, int]:
 
 
 class BpeEncoder:
-    """Ids of a byte-level BPE file as little-endian 32-bit bytes; special tokens in a text are plain text.
+    """Ids of a byte-level BPE file as little-endian 32-bit bytes. An added token of the file that a text holds becomes
+    its own id, and the texts on either side of it are encoded each for itself.
 
     Between two spaces of a text nothing merges across, so the ids of a text are those of its space-led chunks, of
     which a bounded number is remembered. Texts with other white space than single spaces and newlines between
@@ -43,7 +45,10 @@ class BpeEncoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model, added = whole["model"], whole.get("added_tokens") or []
+        if any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") for t in added):
+            raise ValueError(f"{path}: added tokens that look at what is around them")
         special = byte_symbols()
         ranks = {}
         for word, i in model["vocab"].items():
@@ -53,7 +58,10 @@ class BpeEncoder:
         ids = [model["vocab"][a + b] for a, b in merges]
         if ids != sorted(ids):
             raise ValueError(f"{path}: merges are not in the order of their ids")
-        ranks.pop(b"<|endoftext|>", None)
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        self.at_added = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
+        for token in self.added:
+            ranks.pop(token.encode(), None)
         self.encoder = tiktoken.Encoding("bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.remember, self.known = remember, {}
 
@@ -74,6 +82,12 @@ class BpeEncoder:
         return b"".join([known[c] for c in chunks])
 
     def encode(self, text: str) -> bytes:
+        if not any(token in text for token in self.added):
+            return self._between(text)
+        parts = self.at_added.split(text)
+        return b"".join(self.added[part] if n % 2 else self._between(part) for n, part in enumerate(parts))
+
+    def _between(self, text: str) -> bytes:
         if not text:
             return b""
         if text[0] in " \n" or text[-1] in " \n" or any(c in text for c in self.ODD):

@@ -256,6 +256,16 @@ def test_packing_exchanges_until_certified(spark, sf_dir, encode):
     assert check_packing(many, texts_of(docs), encode) <= 1.1 * used  # groups far smaller than any in use
 
 
+def test_packing_gives_added_tokens_their_id(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " one <|endoftext|>\n two  <|endoftext|><|endoftext|> three ", "no <|endoftext| >", "x<|endoftext|>" * 1500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    check_packing(pack(docs, queries.tokenizer_path()).collect(), texts_of(docs), lambda text: t.encode(text, add_special_tokens=False).ids)
+
+
 # sharding
 def test_shards_on_odd_rows(odd, none):
     rows = hilbert_shards(odd, 4).collect()
