@@ -190,6 +190,14 @@ def test_mix_comes_near_its_targets(spark):
 
 
 # lines
+def test_mix_meets_its_targets_without_ids(spark):
+    rows = [(None if n % 3 else 7, "w " * 10 if n % 2 else f"t{n} " + "v " * (n % 9), s) for s in "abc" for n in range(300)]
+    found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for s in "abc":
+        mine = [r for r in found if r["source"] == s]
+        assert len(mine) == 300 and abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 5
+
+
 def test_lines_on_odd_rows(odd, none):
     got = dedup_lines(odd)
     assert rows_of(got, "doc_id", "n_lines", "n_dropped", "text") == brute.lines(texts_of(odd))
