@@ -13,8 +13,10 @@ from claimscope.llm.near_dedup import near_dedup
 from claimscope.llm.packing import pack
 from claimscope.llm.secrets import secret_scan
 from claimscope.llm.sharding import hilbert_shards
+from claimscope.llm.token_files import token_digests
 from claimscope.llm.topk import top_k
 from claimscope.llm.toxicity import held_out, learn, score_toxicity
+from claimscope.llm.vector_codes import code_report
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,10 +150,10 @@ FROM marked GROUP BY doc_id
 """
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +166,47 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_report(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(rounds: int = 4) -> str:
+    """Rounds of assignment and refinement, one after the other."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT k.rn, k.p, min({{'d': list_inner_product(k.y, k.y) - 2 * list_inner_product(k.y, b.y) + list_inner_product(b.y, b.y), 'e': b.e}}) AS best
+  FROM cut k JOIN book{r} b USING (p) GROUP BY k.rn, k.p)""")
+        if r < rounds:
+            steps.append(f"""
+moved{r} AS (
+  SELECT p, e, list(c ORDER BY i) AS y FROM (
+    SELECT p, e, i, floor(sum(c) / count(*)) AS c FROM (
+      SELECT k.p, n.best.e AS e, unnest(k.y) AS c, generate_subscripts(k.y, 1) AS i FROM cut k JOIN near{r} n USING (rn, p))
+    GROUP BY p, e, i)
+  GROUP BY p, e),
+book{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.y, b.y) AS y FROM book{r} b LEFT JOIN moved{r} m USING (p, e))""")
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rn, vec_id, label, [floor(1024::DOUBLE * CAST(c AS DOUBLE)) for c in embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+cut AS MATERIALIZED (SELECT rn, p, x[p * (len(x) // 4) + 1:(p + 1) * (len(x) // 4)] AS y FROM v, range(4) t(p)),
+book0 AS MATERIALIZED (SELECT p, rn - 1 AS e, y FROM cut WHERE rn <= 256),{','.join(steps)},
+coded AS (
+  SELECT v.vec_id, v.label, string_agg(lpad(lower(to_hex(n.best.e)), 2, '0'), '' ORDER BY n.p) AS code, CAST(sum(n.best.d) AS BIGINT) AS error
+  FROM near{rounds} n JOIN v USING (rn) GROUP BY v.rn, v.vec_id, v.label),
+flat AS (SELECT p, e, unnest(y) AS c, generate_subscripts(y, 1) AS i FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) FROM flat) AS codebooks_sha256
+FROM coded
+"""
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -175,10 +218,13 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_sharding": op10_sharding,
+    "op11_token_files": op11_token_files,
+    "op12_vector_codes": op12_vector_codes,
 }
 SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op4_exact_top_k": OP4_SQL,
     "op6_mixing": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op12_vector_codes": _op12_sql(),
 }
