@@ -11,6 +11,7 @@ from claimscope.llm.line_dedup import dedup_lines
 from claimscope.llm.mixing import mix
 from claimscope.llm.near_dedup import near_dedup
 from claimscope.llm.packing import pack
+from claimscope.llm.prefix_trie import rebuilt_trie
 from claimscope.llm.secrets import secret_scan
 from claimscope.llm.sharding import hilbert_shards
 from claimscope.llm.token_files import token_digests
@@ -207,6 +208,49 @@ FROM coded
 """
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+WITH said AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, length(text) AS chars, digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS place FROM said),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, [CAST(ord(x) AS BIGINT) for x in string_split(CAST(conv_id AS VARCHAR), '')]),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(i AS BIGINT) for i in range(8)]),
+             lambda c, i: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS side, t.place, t.digest, t.chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.digest, t.chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place >= c.h),
+steps AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER w AS depth, md5(string_agg(digest, '') OVER w) AS node, chars,
+         count(*) OVER (PARTITION BY conv_id) AS turns
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY side, place)
+  UNION ALL
+  SELECT c.conv_id, 0, 'root', 0, (SELECT count(*) FROM rebuilt r WHERE r.conv_id = c.conv_id) FROM convs c),
+nodes AS MATERIALIZED (
+  SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CASE WHEN depth = turns THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+         count(CASE WHEN depth = turns THEN 1 END) = count(*) AS leaf
+  FROM steps GROUP BY node),
+edges AS (SELECT DISTINCT a.node AS parent, b.node AS child FROM steps a JOIN steps b ON a.conv_id = b.conv_id AND b.depth = a.depth + 1),
+below AS (SELECT DISTINCT a.node AS node, b.node AS under FROM steps a JOIN steps b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sums AS (
+  SELECT b.node, CAST(sum(CASE WHEN n.leaf THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n.n_convs - 1) * n.chars) AS BIGINT) AS saved_tokens
+  FROM below b JOIN nodes n ON n.node = b.under GROUP BY b.node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM edges GROUP BY parent)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN kids k USING (node) LEFT JOIN edges e ON e.child = n.node LEFT JOIN nodes p ON p.node = e.parent
+"""
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -220,6 +264,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_token_files": op11_token_files,
     "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 SQL = {
     "op2_exact_dedup": OP2_SQL,
@@ -227,4 +272,5 @@ SQL = {
     "op6_mixing": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
     "op12_vector_codes": _op12_sql(),
+    "op13_prefix_trie": OP13_SQL,
 }
