@@ -262,12 +262,12 @@ def _written(folder: str, tokenizer: str, end_id: int, frame_ids: int, index_doc
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-                 frame_ids: int = FRAME_IDS, index_docs: int = INDEX_DOCS) -> DataFrame:
+                 frame_ids: int = FRAME_IDS, index_docs: int = INDEX_DOCS, files: int | None = None) -> DataFrame:
     """Encode every text, end it with ``end_id``, write files in ascending order of ids, and return the manifest: one row per
     file in its ``place``, with first and last id, whether documents without an id are in it, and documents, ids and bytes.
 
     Documents are dealt by ranges of (id, hash of the text, row), sorted in each, and streamed into one file a range, so a
-    task holds a text and a frame. Rows that repeat an id, however many, spread over ranges. Each attempt of a task writes a
+    task holds a text and a frame. Spark chooses the number of ranges, unless ``files`` does. Rows that repeat an id, however many, spread over ranges. Each attempt of a task writes a
     file with a name of its own; the manifest, stored in ``folder`` by Spark, names those of the attempts that count, and
     readers look at no other. Null texts are empty: their document is the end id alone. Documents without an id come last.
     Texts of any length are encoded whole. Other columns are not read. An empty table gives no files and an empty manifest.
@@ -276,7 +276,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
     os_store.create_dir(root, recursive=True)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     key = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc(), F.col("_row").asc()]
-    ranged = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*key).sortWithinPartitions(*key)
+    ranged = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*([files] if files else []), *key).sortWithinPartitions(*key)
     run = _written(folder, tokenizer, end_id, frame_ids, index_docs)
     place = posixpath.join(folder, "manifest")
     ranged.select("doc_id", "text").mapInArrow(run, MANIFEST).write.parquet(place)
