@@ -14,8 +14,10 @@ A document's ids are read from the tail, one index frame and the data frames tha
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
+import re
 import struct
 import sys
 import uuid
@@ -31,6 +33,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from claimscope.llm.packing import byte_symbols
 from claimscope.session import fresh_dir
 
 FRAME_IDS, INDEX_DOCS, LEVEL = 1 << 16, 1 << 13, 3
@@ -195,23 +198,54 @@ class WordEncoder:
     """Ids of a ``tokenizers`` file whose pre-tokens never reach across a space or a line end, as little-endian 32-bit bytes.
 
     Such a text has the ids of the pieces between its spaces and line ends, one after the other. A bounded number of short
-    pieces is remembered with the ids that the library gave them; the library sees each new one, and every long one, itself.
+    pieces is remembered. A new piece goes through the library whole, with one exception: where the file splits by ``SPLIT``
+    and the piece holds nothing but printable ASCII and Latin letters, for which that rule, lower case and composition are
+    plain, it is split here, and the library's model merges each part that it hasn't met yet.
     """
 
     LONGEST = 64
+    # How the file splits, and its steps before and after.
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    STEPS = ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
 
     def __init__(self, path: str, remember: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.remember, self.known = Tokenizer.from_file(path), remember, {"": b""}
+        self.tokenizer, self.remember, self.known, self.parts = Tokenizer.from_file(path), remember, {"": b""}, {}
         probe = "a B\nc"
         if self.tokenizer.encode(probe, add_special_tokens=False).ids != [
                 i for w in probe.split() for i in self.tokenizer.encode(w, add_special_tokens=False).ids]:
             raise ValueError(f"{path}: white space is part of its tokens")
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        self._learn_rule(path)
+
+    def _learn_rule(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            rule = json.load(f)
+        steps = [*((rule.get("normalizer") or {}).get("normalizers") or []), *((rule.get("pre_tokenizer") or {}).get("pretokenizers") or [])]
+        plain = [s["type"] for s in steps] == self.STEPS and steps[3]["pattern"] == {"Regex": self.SPLIT} and steps[3]["invert"]
+        latin = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+        self.simple = re.compile(f"[!-~{latin}]+" if plain else r"(?!)").fullmatch
+        letters = f"a-z{latin}"
+        self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+").findall
+        self.added = [t["content"] for t in rule.get("added_tokens") or []]
+        self.symbols = {b: c for c, b in byte_symbols().items()}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            word = part if part.isascii() else "".join([self.symbols[b] for b in part.encode()])
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+            if len(self.parts) > self.remember:
+                self.parts.clear()
+            if len(part) <= self.LONGEST:
+                self.parts[part] = ids
+        return ids
+
+    def _ids(self, piece: str) -> bytes:
+        if self.simple(piece) and not any(token in piece for token in self.added):
+            return b"".join([self._part(part) for part in self.split(piece.lower())])
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         pieces, known = text.replace("\n", " ").split(" "), self.known
@@ -222,11 +256,15 @@ class WordEncoder:
         if len(known) > self.remember:
             known.clear()
             known[""] = b""
-        new = list({p for p in pieces if p not in known})
-        found = dict(zip(new, self._ids(new), strict=True))
-        out = b"".join([known[p] if p in known else found[p] for p in pieces])
-        known.update((p, ids) for p, ids in found.items() if len(p) <= self.LONGEST)
-        return out
+        out = []
+        for p in pieces:
+            ids = known.get(p)
+            if ids is None:
+                ids = self._ids(p)
+                if len(p) <= self.LONGEST:
+                    known[p] = ids
+            out.append(ids)
+        return b"".join(out)
 
 
 def word_encoder(path: str) -> WordEncoder:
