@@ -39,8 +39,9 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     """The last row per key; of rows that tie in all of ``order``, one.
 
     The greatest order of a key is an aggregate of one fixed-width number, which hashes and combines before the shuffle:
-    writes are not sorted, and a hot key sends a row per task. A join brings the rows back; what further columns
-    must decide concerns the few rows left.
+    a hot key sends a row per task. A hash join with that table, of one row a key, brings the rows back; as it is on key
+    and order, the rows of a hot key spread too, and no write is sorted. What further columns must decide, and repeats, concern
+    the few rows left.
     """
     code, used = _order_code(df, order)
     left = df
@@ -50,7 +51,7 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
         same = F.col("_code") == F.col("_top")
         for i, k in enumerate(keys):
             same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
-        left = coded.join(top, same).select(*[col(c) for c in df.columns])
+        left = coded.join(top.hint("shuffle_hash"), same).select(*[col(c) for c in df.columns])
     if used == len(order):
         return left.dropDuplicates(list(keys))
     rest = [c for c in df.columns if c not in keys]

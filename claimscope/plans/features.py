@@ -8,7 +8,9 @@ from claimscope.operators import feature_table as ft
 from claimscope.operators import features, relational
 from claimscope.plans.registry import define, query, quoted
 from claimscope.schema import FINAL_COLUMNS, RAW_SCHEMA
-from claimscope.sources.tables import base, claims, relation
+from claimscope.session import fresh_dir
+from claimscope.sources.feature_store import FeatureStore, from_payload, to_payload
+from claimscope.sources.tables import base, claims, once, relation
 
 _FORMULAS = {
     "claim_to_premium_ratio": "total_claim_amount / (policy_annual_premium + 1)",
@@ -201,11 +203,84 @@ def fs_stats(spark, sf_dir):
     return ft.stats(_table(spark, sf_dir), _now())
 
 
+def _buckets(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _kept(spark, sf_dir):
+    """The kept table of all writes, landed and folded once."""
+    def build(path):
+        store = FeatureStore(spark, path, _buckets(spark))
+        store.upsert(relation(spark, sf_dir, "feature_writes"), "all")
+        store.fold()
+    return FeatureStore(spark, once(spark, sf_dir, "feature_store", build))
+
+
+def _customers(spark, sf_dir):
+    return base(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("entity_id"), "c_acctbal")
+
+
 @query("lookup_batch_features", """SELECT CAST(c_custkey AS VARCHAR) AS entity_id, t.stored_at, t.seq, t.total_claim_amount, t.expires_at
   FROM customer LEFT JOIN feature_table t ON t.entity_id = CAST(c_custkey AS VARCHAR) AND t.feature_group = 'claims'""", ["feature_table"])
 def lookup_batch_features(spark, sf_dir):
-    ids = base(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("entity_id"))
-    return ft.get_batch(_table(spark, sf_dir), ids, "claims")
+    found = _kept(spark, sf_dir).lookup(_customers(spark, sf_dir), "claims")
+    return from_payload(found, "total_claim_amount double").drop("rejected")
+
+
+_EARLY_WRITE = "stored_at < TIMESTAMP_NTZ '1998-07-01 00:00:00'"
+
+
+def _two_runs(spark, sf_dir):
+    """One run lands and folds the early writes; another, which knows the folder only, lands the late ones."""
+    path, writes = fresh_dir(spark, "two_runs"), relation(spark, sf_dir, "feature_writes")
+    first = FeatureStore(spark, path, _buckets(spark))
+    first.upsert(writes.filter(_EARLY_WRITE), "early")
+    first.fold()
+    second = FeatureStore(spark, path)
+    second.upsert(writes.filter(f"NOT ({_EARLY_WRITE})"), "late")
+    return FeatureStore(spark, path)
+
+
+@query("fs_store_upsert", "SELECT * FROM feature_table", ["feature_table"])
+def fs_store_upsert(spark, sf_dir):
+    """What a third run sees of two others: folded rows and an open batch."""
+    return from_payload(_two_runs(spark, sf_dir).current(), "total_claim_amount double").drop("rejected")
+
+
+@query("fs_store_fold", "SELECT *, 2::BIGINT AS version FROM feature_table", ["feature_table"])
+def fs_store_fold(spark, sf_dir):
+    """The same after the second fold, which finds the late batch landed twice."""
+    store = _two_runs(spark, sf_dir)
+    store.upsert(relation(spark, sf_dir, "feature_writes").filter(f"NOT ({_EARLY_WRITE})"), "late")
+    version = store.fold()
+    return from_payload(store.current(), "total_claim_amount double").drop("rejected").withColumn("version", F.lit(version).cast("bigint"))
+
+
+@query("fs_store_delete", """SELECT * FROM feature_table WHERE stored_at > TIMESTAMP '2000-01-01 00:00:00'
+  OR entity_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)""", ["feature_table"])
+def fs_store_delete(spark, sf_dir):
+    """Entities with a debt are removed as of a day: what they stored later stays."""
+    store = _two_runs(spark, sf_dir)
+    store.delete(_customers(spark, sf_dir).filter("c_acctbal < 0"), "closed", F.expr("TIMESTAMP_NTZ '2000-01-01 00:00:00'"), "claims")
+    store.fold()
+    return from_payload(store.current(), "total_claim_amount double").drop("rejected")
+
+
+@query("fs_payload", """WITH w AS (SELECT *, stored_at < TIMESTAMP '1998-07-01 00:00:00' AS early, seq % 7 = 3 AND stored_at >= TIMESTAMP '1998-07-01 00:00:00' AS bad FROM feature_writes),
+  kept AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY stored_at DESC, seq DESC) AS n FROM w WHERE NOT bad)
+  SELECT entity_id, stored_at, total_claim_amount, CASE WHEN NOT early THEN seq * 2 END AS doubled, (SELECT count(*) FROM w WHERE bad) AS rejects FROM kept WHERE n = 1""",
+       ["feature_writes"])
+def fs_payload(spark, sf_dir):
+    """Payloads of an older schema, of a newer one with a further feature, and cut ones, which are rejected."""
+    store, writes = FeatureStore(spark, fresh_dir(spark, "payloads"), _buckets(spark)), relation(spark, sf_dir, "feature_writes")
+    store.upsert(writes.filter(_EARLY_WRITE), "old")
+    store.fold()
+    late = writes.filter(f"NOT ({_EARLY_WRITE})").withColumn("doubled", F.col("seq") * 2)
+    text = to_payload(late)
+    cut = F.when(F.col("seq") % 7 == 3, F.expr("left(features, length(features) - 9)")).otherwise(F.col("features"))
+    _, bad = store.upsert_payloads(text.withColumn("features", cut), "new", "total_claim_amount double, doubled bigint")
+    found = from_payload(store.current(), "total_claim_amount double, doubled bigint")
+    return found.select("entity_id", "stored_at", "total_claim_amount", "doubled", F.lit(bad).cast("bigint").alias("rejects"))
 
 
 # --- lineage

@@ -120,6 +120,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def _system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, in order, without hidden ones; none if it is not there."""
+    system, place = _system(spark, folder)
+    found = [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+    return sorted(n for n in found if not n.startswith((".", "_")))
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not be there yet; of several that try, one succeeds and the others get an error."""
+    system, place = _system(spark, path)
+    out = system.create(place, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.text(path).collect())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, place = _system(spark, path)
+    system.delete(place, True)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).options(**_EXACT_TIME).json(path)
 

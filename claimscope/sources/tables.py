@@ -30,15 +30,28 @@ def folder_state(spark: SparkSession, sf_dir: str, names: Iterable[str] = BASE_T
     return out
 
 
-def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Written once per application and state of the input folder to the shared folder, then scanned with
-    column pruning and filter pushdown by every query that needs it."""
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], object]) -> str:
+    """A folder that ``build`` has filled, once per application and state of the input folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name, folder_state(spark, sf_dir))
     if key not in _staged:
         path = fresh_dir(spark, name)
-        build().write.parquet(path)
+        build(path)
         _staged[key] = path
-    return spark.read.parquet(_staged[key])
+    return _staged[key]
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Rows written once to the shared folder, then scanned with column pruning and filter pushdown by every query that
+    needs them. They are spread evenly first, over no fewer files than there are cores, and no more than their size asks for:
+    a join of small tables may leave them in a task or two, and a scan can't run wider than its files."""
+    return spark.read.parquet(once(spark, sf_dir, name, lambda path: build().repartition(spread(spark, sf_dir)).write.parquet(path)))
+
+
+def spread(spark: SparkSession, sf_dir: str, name: str = "orders", file_bytes: int = 64 << 20) -> int:
+    """Files for what is derived from a table: one for each ``file_bytes`` of that table, and at least one for each core."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // file_bytes))
 
 
 def _derive(spark: SparkSession, sf_dir: str, name: str, **reads: DataFrame) -> DataFrame:
