@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimscope.operators import feature_table as ft
-from claimscope.operators import features, relational
+from claimscope.operators import features, key_filter, relational
 from claimscope.plans.registry import define, query, quoted
 from claimscope.schema import FINAL_COLUMNS, RAW_SCHEMA
 from claimscope.session import fresh_dir
@@ -305,6 +305,44 @@ def lineage_downstream(spark, sf_dir):
     return relational.downstream(*_lineage(spark, sf_dir), "part:1")
 
 
+_GRAPH_SQL = """SELECT from_node, to_node FROM lineage_edges
+  UNION ALL SELECT concat('order:', CAST(o_orderkey AS VARCHAR)), concat('customer:', CAST(o_custkey AS VARCHAR)) FROM orders
+  UNION ALL SELECT concat('customer:', CAST(c_custkey AS VARCHAR)), concat('nation:', CAST(c_nationkey AS VARCHAR)) FROM customer
+  UNION ALL SELECT concat('nation:', CAST(c_nationkey AS VARCHAR)), concat('customer:', CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_custkey % 3 = 0"""
+define("lineage_graph", _GRAPH_SQL, ["lineage_edges"])
+
+
+def _graph(spark, sf_dir):
+    """Parts, orders, customers and nations, with edges back to some customers, so that there are cycles."""
+    def edges(df, a, b, x, y):
+        return df.select(F.concat(F.lit(a + ":"), F.col(x).cast("string")).alias("from_node"), F.concat(F.lit(b + ":"), F.col(y).cast("string")).alias("to_node"))
+
+    orders, customer = base(spark, sf_dir, "orders"), base(spark, sf_dir, "customer")
+    return (relation(spark, sf_dir, "lineage_edges").select("from_node", "to_node").unionByName(edges(orders, "order", "customer", "o_orderkey", "o_custkey"))
+            .unionByName(edges(customer, "customer", "nation", "c_custkey", "c_nationkey"))
+            .unionByName(edges(customer.filter("c_custkey % 3 = 0"), "nation", "customer", "c_nationkey", "c_custkey")))
+
+
+def _hops_sql(start: str, here: str, there: str, hops: int) -> str:
+    return f"""WITH RECURSIVE reached(node_id, hops) AS (SELECT {there}, 1 FROM lineage_graph WHERE {here} = '{start}'
+  UNION SELECT g.{there}, r.hops + 1 FROM reached r JOIN lineage_graph g ON g.{here} = r.node_id WHERE r.hops < {hops})
+  SELECT n.node_id, r.hops, n.name, n.source, n.written_at FROM (SELECT node_id, CAST(min(hops) AS INTEGER) AS hops FROM reached GROUP BY node_id) r
+  JOIN lineage_nodes n ON n.node_id = r.node_id WHERE r.node_id <> '{start}'"""
+
+
+@query("lineage_upstream_all", _hops_sql("nation:7", "to_node", "from_node", 6), ["lineage_graph", "lineage_nodes"])
+def lineage_upstream_all(spark, sf_dir):
+    """Orders and parts behind a nation, over all hops; customers have no entry of their own and are passed through."""
+    return relational.all_upstream(relation(spark, sf_dir, "lineage_node_writes"), _graph(spark, sf_dir), "nation:7").select(
+        "node_id", "hops", "name", "source", "written_at")
+
+
+@query("lineage_downstream_hops", _hops_sql("part:1", "from_node", "to_node", 1), ["lineage_graph", "lineage_nodes"])
+def lineage_downstream_hops(spark, sf_dir):
+    return relational.all_downstream(relation(spark, sf_dir, "lineage_node_writes"), _graph(spark, sf_dir), "part:1", hops=1).select(
+        "node_id", "hops", "name", "source", "written_at")
+
+
 @query("lineage_upsert", "SELECT * FROM lineage_nodes", ["lineage_nodes"])
 def lineage_upsert(spark, sf_dir):
     return relational.upsert_nodes(relation(spark, sf_dir, "lineage_node_writes"))
@@ -339,6 +377,17 @@ def skip_processed(spark, sf_dir):
     return relational.skip_processed(df, _early(df), "policy_number")
 
 
+@query("skip_processed_filter", f"""SELECT policy_number, incident_date, total_claim_amount FROM claims_raw
+  WHERE policy_number NOT IN (SELECT policy_number FROM claims_raw WHERE {_EARLY})""", ["claims_raw"])
+def skip_processed_filter(spark, sf_dir):
+    """The same rows through the filters of two loads, merged: only what they may hold meets the processed keys."""
+    df = raw(spark, sf_dir).select("policy_number", "incident_date", "total_claim_amount")
+    done = _early(df)
+    first = F.col("total_claim_amount") < 100000
+    filters = key_filter.build(done.filter(first), "policy_number").unionByName(key_filter.build(done.filter(~first), "policy_number"))
+    return relational.skip_processed(df, done, "policy_number", key_filter.merge(filters))
+
+
 @query("max_watermark", f"SELECT max(policy_number) AS watermark FROM claims_raw WHERE {_EARLY}", ["claims_raw"])
 def max_watermark(spark, sf_dir):
     return relational.max_watermark(_early(raw(spark, sf_dir)), "policy_number")

@@ -252,8 +252,84 @@ def incremental_load(spark, sf_dir):
     return spark.read.parquet(f"{root}/table").drop("load")
 
 
+def _arrivals(spark, sf_dir):
+    rows = raw(spark, sf_dir)
+    early = rows.filter(F.col("incident_date") < F.expr("TIMESTAMP_NTZ '1998-07-01 00:00:00'"))
+    return rows, early, fit_medians(early, S.NUMERIC_COLUMNS)
+
+
+def _read_raw(spark, paths):
+    return spark.read.schema(S.RAW_SCHEMA).parquet(*paths)
+
+
+@query("incremental_files", f"SELECT {_CLEAN_LIST}, {_AT} AS processed_at, 1 AS second_opened FROM loaded", ["loaded"])
+def incremental_files(spark, sf_dir):
+    """The same from a folder: a file of the early claims, then one of all; the second load opens the second file only."""
+    root = fresh_dir(spark, "folder")
+    rows, early, medians = _arrivals(spark, sf_dir)
+    opened = []
+    for name, source in (("a", early), ("b", rows), ("c", None)):
+        if source is not None:
+            source.coalesce(1).write.parquet(f"{root}/in/{name}")
+        run = jobs.run_files(spark, f"{root}/in", _read_raw, f"{root}/table", f"{root}/control", f"{root}/keys", medians, at())
+        opened.append(run["files_opened"])
+    return spark.read.parquet(f"{root}/table").drop("load").withColumn("second_opened", F.lit(int(opened == [1, 1, 0])))
+
+
+@query("change_files", """SELECT h % 4 AS part, count(*) AS row_count, CASE WHEN h % 4 = 0 THEN 'same' ELSE 'open' END AS state,
+  CASE WHEN h % 4 IN (2, 3) THEN 1 ELSE 0 END AS different FROM (SELECT auto_year AS h FROM claims_raw) GROUP BY h % 4""", ["claims_raw"])
+def change_files(spark, sf_dir):
+    """Four files of claims by year: one stays, one is written again as it was, one with other values, and one is new."""
+    root, rows = fresh_dir(spark, "files"), raw(spark, sf_dir).withColumn("part", F.col("auto_year") % 4)
+
+    def write(part, df):
+        df.filter(F.col("part") == part).coalesce(1).write.mode("overwrite").parquet(f"{root}/in/part={part}")
+
+    for part in (0, 1, 2):
+        write(part, rows)
+    before = cut_lineage(jobs.list_files(spark, f"{root}/in", "*.parquet").join(
+        jobs.file_fingerprints(spark.read.parquet(f"{root}/in")), "path"), "states").withColumn("seen", F.lit(1))
+    write(1, rows)
+    write(2, rows.withColumn("age", F.col("age") + 1))
+    write(3, rows)
+    compared = jobs.compare_files(jobs.list_files(spark, f"{root}/in", "*.parquet"), before)
+    # a file written again has another name here; what it holds is compared by its folder
+    folder = F.regexp_extract("path", "part=([0-9]+)", 1).cast("int")
+    state = compared.filter("state <> 'gone'").groupBy(folder.alias("part")).agg(F.max("state").alias("state"))
+    now = jobs.combine_fingerprints(jobs.file_fingerprints(spark.read.parquet(f"{root}/in")), folder)
+    was = jobs.combine_fingerprints(before, folder).select("part", F.col("checksum").alias("_then"))
+    return state.join(now, "part").join(was, "part", "left").select(
+        "part", "row_count", "state", (~F.col("checksum").eqNullSafe(F.col("_then"))).cast("int").alias("different"))
+
+
+@query("run_record", """SELECT pipeline_name, CAST(sum(CASE WHEN status = 'success' THEN rows_loaded ELSE 0 END) AS BIGINT) AS rows_loaded, count(*) AS runs FROM run_log
+  GROUP BY pipeline_name""", ["run_log"])
+def run_record(spark, sf_dir):
+    """A record for each pipeline, written from its first runs, then again from all of them: one is left."""
+    path, runs = fresh_dir(spark, "records"), relation(spark, sf_dir, "run_log")
+
+    def records(of):
+        return of.groupBy("pipeline_name").agg(F.sum(F.when(F.col("status") == "success", F.col("rows_loaded")).otherwise(0)).alias("rows_loaded"), F.count("*").alias("runs"))
+
+    files.replace_json(records(runs.filter("run_id % 2 = 0")), path, ["pipeline_name"])
+    files.replace_json(records(runs), path, ["pipeline_name"])
+    return files.read_json(spark, path, "pipeline_name string, rows_loaded bigint, runs bigint")
+
+
 # --- streams
 
+@query("stream_load", f"SELECT {_CLEAN_LIST}, {_AT} AS processed_at FROM loaded", ["loaded"])
+def stream_load(spark, sf_dir):
+    """Files that overlap, as a stream: the early claims, then all, then nothing. It loads what ``incremental_load`` does."""
+    root = fresh_dir(spark, "stream_load")
+    rows, early, medians = _arrivals(spark, sf_dir)
+    for name, source in (("a", early), ("b", rows), ("c", None)):
+        if source is not None:
+            source.write.parquet(f"{root}/in/part={name}")
+        ingest.load_stream(spark, f"{root}/in", S.RAW_SCHEMA, medians, f"{root}/table", f"{root}/checkpoint", at=at()).awaitTermination()
+    return spark.read.parquet(f"{root}/table").drop("load")
+
+
 _CONTRACT_OK = """(policy_state = '' OR policy_state IN ('OH', 'IN', 'IL', 'PA', 'NY') OR policy_state IS NULL)
   AND (incident_severity = '' OR incident_severity IN ('Trivial Damage', 'Minor Damage', 'Major Damage', 'Total Loss') OR incident_severity IS NULL)
   AND coalesce(months_as_customer, 0) >= 0 AND coalesce(age, 0) >= 0 AND coalesce(policy_annual_premium, 0) >= 0 AND coalesce(total_claim_amount, 0) >= 0"""

@@ -118,5 +118,6 @@ def with_relations(reads: Sequence[str], body: str) -> str:
     for name in seen:
         text = _EXTRA[name][0] if name in _EXTRA else for_duckdb(name)
         parts.append(f"{name} AS MATERIALIZED ({text})")
-    head = "WITH " + ",\n".join(parts)
-    return f"{head}, {body[5:]}" if body.upper().startswith("WITH ") else f"{head}\n{body}"
+    start = next((w for w in ("WITH RECURSIVE ", "WITH ") if body.upper().startswith(w)), "")
+    head = (start or "WITH ") + ",\n".join(parts)
+    return f"{head}, {body[len(start):]}" if start else f"{head}\n{body}"

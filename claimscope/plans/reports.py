@@ -8,7 +8,8 @@ from claimscope.functions.columns import label_rank
 from claimscope.operators import clean, rates
 from claimscope.plans.registry import define, query, quoted, rounded
 from claimscope.schema import AGE_LABELS, FINAL_COLUMNS, TENURE_LABELS
-from claimscope.sources.tables import claims, relation
+from claimscope.sources.paging import PagedTable
+from claimscope.sources.tables import claims, once, relation
 
 _FR = "CAST(sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) AS BIGINT)"
 
@@ -203,6 +204,21 @@ def page_claims(spark, sf_dir):
     return rates.page(clean.fraud_only(claims(spark, sf_dir)), ["policy_number", "total_claim_amount"], 100, 200)
 
 
+_PAGE_BY = ", ".join(f"{quoted(c)} NULLS FIRST" for c in _PAGE_ORDER)
+
+
+@query("page_claims_seek", "WITH n AS (SELECT *, row_number() OVER (ORDER BY " + _PAGE_BY + """) - 1 AS _place, count(*) OVER () AS _all FROM claims),
+  f AS (SELECT min(_place) AS at FROM n WHERE policy_number >= 'Pol00000500')
+  SELECT 'seek' AS page, """ + ", ".join(f"n.{quoted(c)}" for c in FINAL_COLUMNS) + """, _place FROM n, f
+  WHERE _place BETWEEN f.at AND f.at + 49 UNION ALL SELECT 'deep', """ + ", ".join(quoted(c) for c in FINAL_COLUMNS) + """, _place FROM n
+  WHERE _place >= _all * 9 // 10 AND _place < _all * 9 // 10 + 100""", ["claims"])
+def page_claims_seek(spark, sf_dir):
+    """From a table kept in ranges: the page that lies nine tenths behind, and the page from a policy number on."""
+    kept = PagedTable(spark, once(spark, sf_dir, "paged_claims", lambda path: PagedTable.write(claims(spark, sf_dir), path, ["policy_number", "total_claim_amount"])))
+    deep = kept.at(kept.count() * 9 // 10, 100).withColumn("page", F.lit("deep"))
+    return deep.unionByName(kept.at(kept.find("Pol00000500"), 50).withColumn("page", F.lit("seek")))
+
+
 @query("page_predictions", """SELECT policy_number, incident_date, probability, (SELECT count(*) FROM scored WHERE probability >= 0.35) AS matching
   FROM scored WHERE probability >= 0.35 ORDER BY incident_date, policy_number, probability LIMIT 50""", ["scored"])
 def page_predictions(spark, sf_dir):

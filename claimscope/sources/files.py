@@ -87,13 +87,35 @@ def count_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None, numeric: Sequence[str] = LOAD_NUMERIC) -> int:
-    """Coerce the listed columns to numbers, replace the table, return the rows written."""
+    """Coerce the listed columns to numbers, replace the table, return the rows written.
+
+    With a ``path``, each load gets a folder of its own below it, and the table moves there in one step when the write is complete:
+    readers find the old rows until then, a load that fails leaves them, and the rows may come from the table itself. The folder of
+    the load before stays for those who still read it; older ones go.
+    """
+    spark = df.sparkSession
     counted, done = count_rows(coerce_numeric(df, numeric))
-    writer = counted.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+    if path is None:
+        counted.write.mode("overwrite").format("parquet").saveAsTable(table)
+        return done.get["rows"]
+    before = names(spark, path)
+    out = os.path.join(path, f"load-{(int(before[-1].split('-')[1]) if before else 0) + 1:09d}")
+    counted.write.mode("overwrite").parquet(out)
+    place_table(spark, table, out)
+    for old in before[:-1]:
+        remove(spark, os.path.join(path, old))
     return done.get["rows"]
 
 
+def place_table(spark: SparkSession, table: str, path: str) -> None:
+    """Make the rows in ``path`` those of ``table``, in one step."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=path, source="parquet")
+
+
 def append_table(df: DataFrame, path: str, at: Column | None = None, load: str | None = None) -> int:
     """Stamp ``processed_at``, append, return the rows written.
 
@@ -114,6 +136,14 @@ def append_json(df: DataFrame, path: str) -> int:
     return done.get["rows"]
 
 
+def replace_json(df: DataFrame, path: str, keys: Sequence[str]) -> int:
+    """Write rows to the partitions of their ``keys``, replacing what those partitions held: writing a run again leaves one copy of it,
+    and other runs stay as they are."""
+    counted, done = count_rows(df)
+    (counted.write.partitionBy(*keys).mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**_EXACT_TIME).json(path))
+    return done.get["rows"]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -150,7 +180,9 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).options(**_EXACT_TIME).json(path)
+    rows = spark.read.schema(schema).options(**_EXACT_TIME).json(path)
+    names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+    return rows if rows.columns == names else rows.select(*[col(c) for c in names])  # columns that are folder names come last
 
 
 MANIFEST = "table string, row_count bigint, timestamp timestamp_ntz"
@@ -185,11 +217,7 @@ def restore_table(spark: SparkSession, path: str, schema: T.StructType, table: s
     The table moves to the new folder in one step after the write is complete; a restore that fails leaves it as it was.
     """
     rows = restore_snapshot(spark, path, schema, out)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{out}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=out, source="parquet")
+    place_table(spark, table, out)
     return rows
 
 
