@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimscope.functions.columns import col
 from claimscope.functions.order import exact_percentiles, running_totals, unpivot_values
-from claimscope.functions.special import chi_square_pvalue, kolmogorov_pvalue
+from claimscope.functions.special import chi_square_pvalue, exact_ks_pvalue, kolmogorov_pvalue
 from claimscope.operators.clean import numeric_columns, string_columns
 from claimscope.session import cut_lineage
 from claimscope.schema import DRIFT_THRESHOLD, PREDICTION_DRIFT_THRESHOLD, REFERENCE_PROBABILITY
@@ -22,6 +22,8 @@ RECOMMENDATIONS = {
     "critical": "URGENT: Retrain model before production use.",
 }
 EXCLUDED = ("policy_number",)
+#: Values on either side up to which p-values are counted exactly.
+EXACT_KS = 200
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -117,20 +119,31 @@ def _psi(ranked: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     bins = cut.groupBy("feature", spot.alias("bin")).agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
     wide = _sizes(counts.filter("numeric = 1")).join(bins.groupBy("feature").agg(*[
         F.sum(F.when(F.col("bin") == b, F.col(s))).alias(f"{s}{b}") for b in range(buckets) for s in ("ref", "new")]), "feature", "left")
+    return wide.select("feature", _index(buckets).alias("psi"))
+
+
+def _index(buckets: int) -> Column:
+    """The index from the counts ``ref0`` and ``new0``, ``ref1`` … of the bins and the sizes of both sides."""
     total = F.lit(0.0)
     for b in range(buckets):
         r = F.try_divide(F.coalesce(f"ref{b}", F.lit(0)).cast("double"), F.col("n_ref").cast("double"))
         n = F.try_divide(F.coalesce(f"new{b}", F.lit(0)).cast("double"), F.col("n_new").cast("double"))
         r, n = F.when(r == 0, 0.0001).otherwise(r), F.when(n == 0, 0.0001).otherwise(n)
         total = total + (n - r) * F.ln(n / r)
-    return wide.select("feature", total.alias("psi"))
+    return total
 
 
-def _ks(ranked: DataFrame) -> DataFrame:
+def _ks(ranked: DataFrame, exact_below: int = EXACT_KS) -> DataFrame:
     gap = F.abs(F.try_divide(F.col("ref_upto").cast("double"), F.col("m").cast("double"))
                 - F.try_divide(F.col("new_upto").cast("double"), F.col("n").cast("double")))
     out = ranked.groupBy("feature", "m", "n").agg(F.max(gap).alias("ks_statistic"))
-    return out.select("feature", "ks_statistic", kolmogorov_pvalue(F.col("ks_statistic"), F.col("m"), F.col("n")).alias("ks_pvalue"))
+    asymptotic = kolmogorov_pvalue(F.col("ks_statistic"), F.col("m"), F.col("n"))
+    small = {r["feature"]: exact_ks_pvalue(r["ks_statistic"], r["m"], r["n"])
+             for r in out.filter((F.col("m").between(1, exact_below)) & (F.col("n").between(1, exact_below))).collect()}  # a row a feature
+    if not small:
+        return out.select("feature", "ks_statistic", asymptotic.alias("ks_pvalue"))
+    exact = F.create_map(*[F.lit(x) for pair in small.items() for x in pair])
+    return out.select("feature", "ks_statistic", F.coalesce(F.try_element_at(exact, F.col("feature")), asymptotic).alias("ks_pvalue"))
 
 
 def _aligned(counts: DataFrame) -> DataFrame:
@@ -146,13 +159,29 @@ def psi(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, bu
     Bins are left-closed with open outer ends; a repeated edge sends its value to the last of
     its bins; shares are of all rows, nulls included; an empty share counts as 0.0001.
     """
-    counts = value_counts(ref, new, exclude, text=False, columns=columns)
-    return _psi(_ranked(counts), counts, buckets)
+    both, numbers, _ = stack(ref, new, exclude)
+    chosen = [c for c in numbers if columns is None or c in columns]
+    there = {c: F.when(~F.isnan(col(c)), col(c)) for c in chosen}
+    # edges from a sketch and a look at what it leaves open, then one count: values are binned where they lie, and never shuffled
+    edges = exact_percentiles(both.filter("ref = 1"), there, [i / buckets for i in range(1, buckets)])
+    cells = []
+    for c in chosen:
+        spot = sum((F.coalesce((there[c] >= F.lit(e).cast("double")).cast("int"), F.lit(0)) for e in edges[c]), F.lit(0))
+        cells.append(F.struct(F.lit(c).alias("feature"), F.when(there[c].isNotNull(), spot).alias("bin")))
+    if not cells:
+        raise ValueError("the two sides share no feature")
+    bins = both.select("ref", "new", F.inline(F.array(*cells))).groupBy("feature", "bin").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
+    wide = bins.groupBy("feature").agg(F.sum("ref").alias("n_ref"), F.sum("new").alias("n_new"), *[
+        F.sum(F.when(F.col("bin") == b, F.col(s))).alias(f"{s}{b}") for b in range(buckets) for s in ("ref", "new")])
+    return wide.select("feature", _index(buckets).alias("psi"))
+
 
+def ks(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = EXCLUDED, exact_below: int = EXACT_KS) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic and p-value per numeric feature, from running totals over distinct values.
 
-def ks(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = EXCLUDED) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per numeric feature, from running totals over distinct values."""
-    return _ks(_ranked(value_counts(ref, new, exclude, text=False, columns=columns)))
+    The p-value is exact where neither side has more than ``exact_below`` values, and asymptotic above; 10,000 takes seconds a feature.
+    """
+    return _ks(_ranked(value_counts(ref, new, exclude, text=False, columns=columns)), exact_below)
 
 
 def align_categories(ref: DataFrame, new: DataFrame, columns: Sequence[str] | None = None,

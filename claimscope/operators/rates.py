@@ -22,10 +22,16 @@ def mean(column: str, digits: int = 2) -> Column:
 
 
 def money(column: str, digits: int = 4) -> Column:
-    """Sum of an amount as a double, rounded only at the end."""
+    """Sum of an amount as a double, rounded only at the end; averages are taken from the amounts, not from this."""
     return F.round(F.sum(col(column).cast("double")), digits)
 
 
+def exact_mean(column: str) -> Column:
+    """Mean of an amount from its exact decimal sum, which no order of adding changes; it isn't rounded. Amounts count to eight digits."""
+    total = F.sum(col(column).try_cast("decimal(30,8)")).cast("double")
+    return F.try_divide(total, F.count(column).cast("double"))
+
+
 def fraud_rate(
     df: DataFrame,
     by: Sequence[str | Column] = (),
@@ -90,8 +96,8 @@ def fraud_groups(staged: DataFrame) -> DataFrame:
     """Groups of the risk mart, with the fraud rate as a fraction of three digits."""
     keyed = staged.drop("incident_severity").withColumnRenamed("incident_severity_clean", "incident_severity")
     return fraud_rate(keyed, MART_KEYS, scale=1, digits=3, extra={
-        "avg_claim_amount": F.try_divide(money("total_claim_amount"), F.count("total_claim_amount")),
-        "avg_premium": F.try_divide(money("policy_annual_premium"), F.count("policy_annual_premium")),
+        "avg_claim_amount": exact_mean("total_claim_amount"),
+        "avg_premium": exact_mean("policy_annual_premium"),
         "total_claim_value": money("total_claim_amount"),
     })
 

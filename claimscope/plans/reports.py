@@ -137,8 +137,8 @@ def agg_stats_endpoint(spark, sf_dir):
 
 define("fraud_groups", f"""SELECT auto_make, incident_severity_clean AS incident_severity, age_group, tenure_group,
   count(*) AS total_claims, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, {rounded('sum(is_fraud) * 1.0 / count(*)', 3)} AS fraud_rate,
-  {rounded('sum(total_claim_amount)', 4)} / count(total_claim_amount) AS avg_claim_amount,
-  {rounded('sum(policy_annual_premium)', 4)} / count(policy_annual_premium) AS avg_premium,
+  CAST(sum(CAST(total_claim_amount AS DECIMAL(30,8))) AS DOUBLE) / count(total_claim_amount) AS avg_claim_amount,
+  CAST(sum(CAST(policy_annual_premium AS DECIMAL(30,8))) AS DOUBLE) / count(policy_annual_premium) AS avg_premium,
   {rounded('sum(total_claim_amount)', 4)} AS total_claim_value
   FROM stg_claims GROUP BY auto_make, incident_severity_clean, age_group, tenure_group""", ["stg_claims"])
 _BAND = "CASE WHEN fraud_rate >= 0.2 THEN 'HIGH_RISK' WHEN fraud_rate >= 0.1 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS risk_category"

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from claimscope.functions.special import chi_square_pvalue, kolmogorov_pvalue
+from claimscope.functions.special import chi_square_pvalue, exact_ks_pvalue, kolmogorov_pvalue
 from claimscope.operators import drift, evaluate, feature_table, features, model, rates, runlog, sampling
 from claimscope.sources.tables import claims
 
@@ -272,3 +272,38 @@ def test_ids_of_records_differ_where_the_records_do(spark):
 def test_sums_of_small_and_large_amounts(spark):
     df = spark.createDataFrame([(0.00004,), (0.00004,), (1e15,)], "x double")
     assert df.limit(2).agg(rates.money("x", 6)).first()[0] == 0.00008 and df.agg(rates.money("x")).first()[0] == 1e15
+
+
+def test_augment_does_not_depend_on_partitions(spark):
+    rows = spark.range(60).select(F.concat(F.lit("p"), F.col("id")).alias("policy_number"), (F.col("id") % 9).cast("int").alias("age"),
+                                  F.lit(None).cast("int").alias("months_as_customer"))
+    rows = rows.unionByName(rows.limit(5))
+    found = [sorted(map(tuple, sampling.augment(df, 151).collect()), key=repr) for df in (rows.coalesce(1), rows.repartition(7, "age"), rows.repartition(3).sortWithinPartitions(F.desc("age")))]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 151
+
+
+def test_exact_ks_pvalue_counts_paths():
+    from itertools import combinations
+
+    for m, n in ((1, 1), (3, 4), (5, 5), (2, 7), (6, 4)):
+        far = []
+        for steps in combinations(range(m + n), m):
+            i = j = most = 0
+            for s in range(m + n):
+                i, j = (i + 1, j) if s in steps else (i, j + 1)
+                most = max(most, abs(i * n - j * m))
+            far.append(most)
+        for h in range(m * n + 1):
+            assert abs(exact_ks_pvalue(h / (m * n), m, n) - sum(f >= h for f in far) / len(far)) < 1e-12
+
+
+def test_ks_is_exact_for_small_samples_only(spark):
+    ref, new = spark.range(150).select(F.col("id").cast("double").alias("x")), spark.range(120).select((F.col("id") + 20).cast("double").alias("x"))
+    exact, rough = (drift.ks(ref, new, exclude=(), exact_below=limit).first() for limit in (150, 149))
+    assert exact["ks_statistic"] == rough["ks_statistic"] and exact["ks_pvalue"] == exact_ks_pvalue(exact["ks_statistic"], 150, 120)
+    assert 0 < abs(exact["ks_pvalue"] - rough["ks_pvalue"]) < 0.05
+
+
+def test_mart_average_is_not_rounded(spark):
+    df = spark.createDataFrame([(0.00004,), (0.00004,), (None,)], "x double")
+    assert df.agg(rates.exact_mean("x")).first()[0] == 0.00004
