@@ -48,8 +48,8 @@ def near(rows: list[tuple], k: int) -> list[tuple]:
     return sorted(((shown(i), n, shown(c), i == c) for i, n, c in found), key=repr)
 
 
-def lines(rows: list[tuple]) -> list[tuple]:
-    """(id, n_lines, n_dropped, kept text) for (id, text) rows."""
+def line_parts(rows: list[tuple]) -> list[tuple]:
+    """(id, text, its lines, those that stay) for (id, text) rows."""
     def key(line):
         return lower(line.strip(" \t\n\x0b\x0c\r"))
 
@@ -62,8 +62,18 @@ def lines(rows: list[tuple]) -> list[tuple]:
     for i, t in rows:
         all_lines = (t or "").split("\n")
         kept = [x for x in all_lines if len(holders.get(key(x), ())) < 2 or min(holders[key(x)]) == (LAST if i is None else i)]
-        out.append((i, len(all_lines), len(all_lines) - len(kept), "\n".join(kept)))
-    return sorted(out, key=repr)
+        out.append((i, t, all_lines, kept))
+    return out
+
+
+def lines(rows: list[tuple]) -> list[tuple]:
+    """(id, n_lines, n_dropped, kept text) for (id, text) rows."""
+    return sorted(((i, len(a), len(a) - len(k), "\n".join(k)) for i, _, a, k in line_parts(rows)), key=repr)
+
+
+def not_emptied(rows: list[tuple]) -> list[tuple]:
+    """(id, kept text) without the rows that had words and have none left."""
+    return [(i, "\n".join(k)) for i, t, _, k in line_parts(rows) if WORD.search("\n".join(k)) or not WORD.search(t or "")]
 
 
 def secrets(text: str | None) -> tuple[int, int, int, str]:

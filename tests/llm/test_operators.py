@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -114,20 +115,38 @@ def test_secret_scan_of_nothing(none):
 
 
 # top-k
-def test_top_k_with_ties_and_bad_rows(spark):
-    rows = [(i, [float(i % 3), 0.5, -0.25]) for i in range(40)] + [
+def plain_top_k(rows, is_query, k, scale=256):
+    """Every query row against every row of another id; of queries that share an id, the best of all."""
+    good = [(i, [math.floor(scale * c) for c in v]) for i, v in rows
+            if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    found: dict = {}
+    for q, x in good:
+        if is_query(q):
+            found.setdefault(q, []).extend((-sum(a * b for a, b in zip(x, y, strict=False)), i) for i, y in good if i != q)
+    return sorted(((q, n + 1, i, -s) for q, pairs in found.items() for n, (s, i) in enumerate(sorted(pairs)[:k])), key=repr)
+
+
+@pytest.mark.parametrize("far", [1.0, 1e6, 5e6])  # scores in doubles, and beyond what doubles hold exactly
+def test_top_k_with_ties_repeated_ids_and_bad_rows(spark, far):
+    rows = [(i, [far * (i % 3), far * 0.5 + i / 1024, -0.25]) for i in range(40)] + [
         (40, None), (41, [1.0, None, 0.0]), (42, [float("nan"), 0.0, 0.0]), (None, [1.0, 1.0, 1.0]), (43, [float("inf"), 0.0, 0.0]),
-        (44, []), (45, [2.0]), (7, [1.0, 0.5, -0.25])]
+        (44, []), (45, [2.0]), (7, [far, 0.5, -0.25]), (7, [2 * far, 0.5, 0.25]), (7, [2 * far, 0.5, 0.25]), (20, [-far, 3.0, 1.0])]
+    rows += [(60, [3 * far, far, 0.0])] * 9 + [(70, [3 * far, far, 0.0])] * 7  # queries with many rows of their own id
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x")).withColumn("x", F.lit(1))
-    good = {i: [int(np.floor(256 * c)) for c in v] + [0] * (3 - len(v)) for i, v in rows
-            if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)}
-    want = []
-    for q in sorted(good):
-        if q % 10 == 0:
-            best = sorted((-sum(a * b for a, b in zip(good[q], good[v], strict=True)), v) for v in good if v != q)[:5]
-            want += [(q, n + 1, v, -s) for n, (s, v) in enumerate(best)]
-    got = top_k(df, lambda i: i % 10 == 0, rows=7, queries=2)
-    assert rows_of(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+    want = plain_top_k(rows, lambda i: i % 10 == 0, 5)
+    for size, go in ((7, 2), (4096, 4096)):
+        got = top_k(df, lambda i: i % 10 == 0, rows=size, queries=go)
+        assert rows_of(got, "query_id", "rank", "vec_id", "score") == want
+
+
+def test_top_k_finds_what_single_slices_rank_low(spark):
+    """The best row is in no slice's own list; only the cutoff brings it to light."""
+    rows = [(0, [1.0, 0.0, 1.0, 0.0])] + [(i, [5.0 + i / 100, 0.0, -4.0, 0.0]) for i in range(1, 20)] + [
+        (i, [-4.0, 0.0, 5.0 + i / 100, 0.0]) for i in range(20, 40)] + [(99, [3.0, 9.0, 3.0, -9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_k(df, lambda i: i == 0, k=2, rows=100)
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == plain_top_k(rows, lambda i: i == 0, 2)
+    assert got.first()["vec_id"] == 99
 
 
 def test_top_k_with_too_few_rows(spark):
@@ -246,7 +265,6 @@ def encode():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 

@@ -35,7 +35,7 @@ def test_stages_on_odd_rows(spark, odd, sf_dir):
     assert pipeline.drop_toxic(spark, odd, sf_dir).count() == odd.count(), "nothing here is toxic"
     kept = pipeline.drop_lines(spark, odd, sf_dir)
     assert sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in kept.collect()), key=repr) == sorted(
-        ((i, t, len(t)) for i, _, _, t in brute.lines(pairs(odd))), key=repr)
+        ((i, t, len(t)) for i, t in brute.not_emptied(pairs(odd))), key=repr)
     single = pipeline.drop_near_copies(spark, odd.filter("doc_id IS NOT NULL"), sf_dir)
     assert sorted(((i, t) for i, t in pairs(single)), key=repr) == [(i, None if t is None else t) for i, t in one_of_each(pairs(odd.filter("doc_id IS NOT NULL")))]
     ids = odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
@@ -43,6 +43,13 @@ def test_stages_on_odd_rows(spark, odd, sf_dir):
     assert Counter(i for i, _ in pairs(pipeline.mix_sources(spark, ids, sf_dir))) == want
 
 
+def test_documents_that_line_dedup_empties_leave(spark, sf_dir):
+    lines = [f"a line that {n} documents share" for n in range(3)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines[:2])), (3, lines[0] + "\nits own"), (4, ""), (5, None), (6, " \n "), (7, "short\n" + lines[1]), (8, lines[2].upper() + "\n  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(pairs(pipeline.drop_lines(spark, docs, sf_dir))) == [(1, rows[0][1]), (3, "its own"), (4, ""), (5, ""), (6, " \n "), (7, "short")]
+
+
 def kept_by_row(rows):
     """What five-word near dedup keeps where every row is a document; null ids come last."""
     rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
@@ -76,7 +83,7 @@ def test_the_whole_run(spark, sf_dir):
     clean = pipeline.drop_toxic(spark, docs, sf_dir)
     scored = {r["doc_id"]: r["predicted"] for r in queries.op5_toxicity(spark, sf_dir).collect()}
     assert sorted(pairs(clean)) == sorted((i, t) for i, t in pairs(docs) if scored[i] == 0)
-    lined = [(i, t) for i, _, _, t in brute.lines(pairs(clean))]
+    lined = brute.not_emptied(pairs(clean))
     stay = {r[0] for r in brute.near(lined, 5) if r[3]}
     lined = {i: t for i, t in lined if i in stay}
     sources = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
@@ -86,7 +93,6 @@ def test_the_whole_run(spark, sf_dir):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     tokens = {i: len(t.encode(lined[i], add_special_tokens=False).ids) + 1 for i in copies}
     rows = pipeline.run(spark, sf_dir).collect()
     found: Counter = Counter()
