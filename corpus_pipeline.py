@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimscope.llm.common import stored, table
+from claimscope.llm.common import stored, table, word_count
 from claimscope.llm.line_dedup import dedup_lines
 from claimscope.llm.mixing import mix
 from claimscope.llm.near_dedup import near_dedup
@@ -43,11 +43,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; ``n_chars`` follows the text. Every document stays, if empty."""
+    """Lines that an earlier document holds go; ``n_chars`` follows the text. A document that had words and has none left goes
+    too: all that it said is in others. One that had none to begin with stays."""
     rows, names = _plain(docs)
-    out = dedup_lines(rows, names["doc_id"], names["text"])
+    text = names["text"]
+    rows = rows.withColumn("_had", word_count(F.col(text)) > 0)
+    out = dedup_lines(rows, names["doc_id"], text).where((word_count(F.col(text)) > 0) | ~F.col("_had"))
     if "n_chars" in names:
-        out = out.withColumn(names["n_chars"], F.char_length(names["text"]).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn(names["n_chars"], F.char_length(text).cast(docs.schema["n_chars"].dataType))
     return _back(out, docs)
 
 
