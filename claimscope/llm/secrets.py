@@ -77,17 +77,19 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                 repo_cols: tuple[str, ...] = ("source", "lang"), wide: int = 3) -> DataFrame:
-    """One row per row of ``docs``: id, counts and digest of the base spans, ``spans``, ``n_live``, ``n_copied``.
+    """One row per row of ``docs``: id, counts and digest of the base spans, ``spans``, ``n_live``, ``n_shared``,
+    ``n_copied``, ``n_repos``.
 
     Every candidate (a value that a base rule finds, or another long opaque string) is hashed, and the whole corpus
-    says how many distinct repositories (``repo_cols`` together) and owners (``owner_col``) hold it. A value held by
-    ``wide`` owners or more is a copied example; one held by a single owner, in a single repository, looks live.
-    Opaque strings that look live become spans of kind ``token`` beside the base spans, which stay whatever their class.
-    ``n_live`` and ``n_copied`` count the document's candidates of either class.
-
-    Null texts are empty and have no spans. A null owner or repository is one of its own. Null ids are kept; rows that
-    repeat an id are scanned each for itself and share an owner, so repeating a row makes nothing look copied. Other
-    columns are not read. An empty table gives an empty result.
+    says how many distinct repositories (``repo_cols`` together) and owners (``owner_col``) hold it. A value held by a
+    single owner looks live, in however many of that owner's repositories it lies; one held by ``wide`` owners or more
+    is a copied example; one between the two is shared. Opaque strings that look live become spans of kind ``token``
+    beside the base spans, which stay whatever their class. ``n_live``, ``n_shared`` and ``n_copied`` count the
+    document's candidates of each class; ``n_repos`` is the largest number of repositories that hold one of its live ones.
+
+    Null texts are empty and have no spans. Long texts are scanned whole, one at a time. A null owner or repository is
+    one of its own. Null ids are kept; rows that repeat an id are scanned each for itself and share an owner, so
+    repeating a row makes nothing look copied. Other columns are not read. An empty table gives an empty result.
     """
     name = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in repo_cols]
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{owner_col}`").cast("string"), F.lit("\u0000")).alias("owner"),
@@ -99,14 +101,15 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each = scanned.select("row", "owner", "repo", F.inline("found"))
     held = each.select("hash", "owner", "repo").distinct().groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
     held = held.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
-    live, copied = (F.col("owners") == 1) & (F.col("repos") == 1), F.col("owners") >= wide
+    live, copied = F.col("owners") == 1, F.col("owners") >= wide
     judged = each.join(held, "hash")
     shown = F.struct("start", "kind", "end")
     by_row = judged.groupBy("row").agg(
         F.collect_list(F.when((F.col("kind") < 3) | live, shown)).alias("shown"),
-        F.count(F.when(live, 1)).alias("n_live"), F.count(F.when(copied, 1)).alias("n_copied"))
+        F.count(F.when(live, 1)).alias("n_live"), F.count(F.when(~live & ~copied, 1)).alias("n_shared"),
+        F.count(F.when(copied & ~live, 1)).alias("n_copied"), F.max(F.when(live, F.col("repos"))).alias("n_repos"))
     names = F.array(*[F.lit(k) for k in KINDS])
     text = F.transform(F.array_sort("shown"), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"]))
     out = scanned.drop("found").join(by_row.withColumn("spans", F.array_join(text, ",")), "row", "left")
     return out.select(F.col("doc_id").alias(id_col), "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("spans", F.lit("")).alias("spans"),
-                      F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_copied", F.lit(0)).alias("n_copied"))
+                      *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_live", "n_shared", "n_copied", "n_repos")])

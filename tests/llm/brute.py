@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -88,6 +89,32 @@ def secrets(text: str | None) -> tuple[int, int, int, str]:
     return counts[0], counts[1], counts[2], hashlib.sha256(listed.encode()).hexdigest()
 
 
+def owned_secrets(rows: list[tuple], wide: int = 3) -> list[tuple]:
+    """(id, spans, n_live, n_shared, n_copied) for (id, text, owner) rows."""
+    found, owners = [], {}
+    for i, text, owner in rows:
+        text, mine = text or "", []
+        for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+            mine += [(m.start(), 0, m.end(), m[1])] if len(m[1]) >= 12 else []
+        mine += [(m.start(), 1, m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        mine += [(m.start(), 2, m.end(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        taken = {x for s, _, e, _ in mine for x in range(s, e)}
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            v = m[0]
+            varied = -sum(v.count(c) / len(v) * math.log2(v.count(c) / len(v)) for c in set(v)) >= 3
+            if varied and re.search("[0-9]", v) and re.search("[A-Za-z]", v) and not taken & set(range(m.start(), m.end())):
+                mine.append((m.start(), 3, m.end(), v))
+        for *_, v in mine:
+            owners.setdefault(v, set()).add(owner)
+        found.append((i, sorted(mine)))
+    out = []
+    for i, mine in found:
+        n = [len(owners[v]) for *_, v in mine]
+        listed = ",".join(f"{['assign', 'access', 'hex', 'token'][k]}:{s}:{e}" for s, k, e, v in mine if k < 3 or len(owners[v]) == 1)
+        out.append((i, listed, n.count(1), sum(1 < x < wide for x in n), sum(x >= wide for x in n)))
+    return sorted(out, key=repr)
+
+
 def crc(ids: list[int]) -> int:
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
 
