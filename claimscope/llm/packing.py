@@ -195,15 +195,17 @@ def _pack_round(pieces: DataFrame, rows: int, turn: int, capacity: int, group: i
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         group: int = GROUP, rounds: int = 4) -> DataFrame:
+         group: int = GROUP) -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     Texts become ids of the byte-level BPE file ``tokenizer``, and a 0 at the end. Pieces as long as a sequence stand
     alone. The others are dealt by hash over groups of about ``group`` pieces; each group packs by best-fit
-    decreasing and compares its number of bins with a lower bound from dual feasible functions. While all groups
-    together need more bins than the bound over all pieces, the pieces of bins that are not full, in groups with a
-    gap or not, are exchanged: they are dealt anew and packed again. A round counts only if it saves bins, and the
-    first that doesn't ends the exchange. Full bins and a certificate over everything end it earlier.
+    decreasing and compares its number of bins with a lower bound from dual feasible functions, which certifies it where
+    the two are equal. While all groups together need more bins than the bound over all pieces, groups with a gap
+    exchange the pieces of their bins that are not full: these are dealt anew among such groups and packed again. A
+    round counts only if it saves bins. Once no group has a gap, or a round saves nothing, the open bins of certified
+    groups come in too, as their rooms are all that is left to fill. The exchange ends when the bound over everything
+    is met or a round over all open bins saves nothing; there is no limit on rounds.
 
     Null texts are empty and take one place. Null ids are kept as null. Rows that repeat an id are packed each for
     itself. Only the two columns named are read. An empty table gives an empty result.
@@ -226,22 +228,22 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         row = df.agg(F.count(F.when(F.col("offset") == 0, 1)), F.count(F.lit(1))).first()
         return row[0], row[1]
 
-    last = _pack_round(loose, n, 0, capacity, group)
-    done, used = [], bins(last)[0]
-    for turn in range(1, rounds):
-        if used <= bound or n <= group:
-            break
-        open_bins = last.where(F.col("fill") < capacity)
-        before, left = bins(open_bins)
-        if not left:
-            break
-        again = _pack_round(open_bins.select(loose.columns), left, turn, capacity, group)
-        after = bins(again)[0]
-        if after >= before:
-            break
-        done.append(last.where(F.col("fill") == capacity))
-        last, used = again, used - before + after
-    packed = last
-    for part in done:
-        packed = packed.unionByName(part)
+    packed = _pack_round(loose, n, 0, capacity, group)
+    used, turn, gaps_only = bins(packed)[0], 0, True
+    while used > bound and n > group:
+        movable = F.col("fill") < capacity
+        if gaps_only:
+            movable &= ~F.col("certain")
+        before, left = bins(packed.where(movable))
+        saved = 0
+        if left:
+            turn += 1
+            again = _pack_round(packed.where(movable).select(loose.columns), left, turn, capacity, group)
+            saved = before - bins(again)[0]
+            if saved > 0:
+                packed, used = packed.where(~movable).unionByName(again), used - saved
+        if saved <= 0:
+            if not gaps_only:
+                break
+            gaps_only = False
     return packed.select(columns).unionByName(alone.select(columns)).withColumnRenamed("doc_id", id_col)

@@ -11,13 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from claimscope.llm import queries
+from claimscope.llm import packing, queries
 from claimscope.llm.common import components, running_totals, table
 from claimscope.llm.exact_dedup import exact_dedup
 from claimscope.llm.line_dedup import LineIndex, dedup_lines
 from claimscope.llm.mixing import mix, source_targets
 from claimscope.llm.near_dedup import near_dedup
-from claimscope.llm.packing import pack
+from claimscope.llm.packing import bins_needed, pack
 from claimscope.llm.secrets import secret_scan
 from claimscope.llm.sharding import hilbert_shards, write_shards
 from claimscope.llm.topk import top_k
@@ -110,6 +110,20 @@ def test_owners_tell_copied_from_live(spark):
     assert got[9]["spans"] == f"token:2:22,token:23:43,assign:{at}:{len(text)}" and got[9]["n_live"] == 3
 
 
+def test_one_owner_in_two_languages_is_live_and_two_owners_share(spark):
+    own, two = "Zx81Kd93Lq02Mv57Pw46", "Ty72Hg15Bn88Cw33Rf60"
+    docs = spark.createDataFrame([(1, own, "en", "a"), (2, own, "de", "a"), (3, two, "en", "a"), (4, two, "en", "b"), (5, two, "en", "b")],
+                                 "doc_id long, text string, lang string, source string")
+    got = rows_of(secret_scan(docs), "doc_id", "spans", "n_live", "n_shared", "n_copied", "n_repos")
+    assert got == [(1, "token:0:20", 1, 0, 0, 2), (2, "token:0:20", 1, 0, 0, 2), (3, "", 0, 1, 0, 0), (4, "", 0, 1, 0, 0), (5, "", 0, 1, 0, 0)]
+
+
+def test_ownership_over_a_whole_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    got = rows_of(secret_scan(docs), "doc_id", "spans", "n_live", "n_shared", "n_copied")
+    assert got == brute.owned_secrets([tuple(r) for r in docs.select("doc_id", "text", "source").collect()])
+
+
 def test_secret_scan_of_nothing(none):
     assert secret_scan(none).count() == 0
 
@@ -282,6 +296,30 @@ def test_packing_exchanges_until_certified(spark, sf_dir, encode):
     assert check_packing(many, texts_of(docs), encode) <= 1.1 * used  # groups far smaller than any in use
 
 
+def test_only_groups_with_a_gap_exchange_until_nothing_is_saved(spark, sf_dir, monkeypatch):
+    turns, real = [], packing._pack_round
+
+    def watched(pieces, rows, turn, capacity, group):
+        out = real(pieces, rows, turn, capacity, group)
+        key = ["doc_id", "piece", "ids_crc32"]
+        turns.append(({tuple(r) for r in pieces.select(key).collect()}, {tuple(r[:3]): (r[3], r[4], r[5]) for r in out.select(*key, "fill", "certain", "sequence_id").collect()}))
+        return out
+
+    monkeypatch.setattr(packing, "_pack_round", watched)
+    pack(table(spark, sf_dir, "documents"), queries.tokenizer_path(), group=60)
+    placed, kinds = dict(turns[0][1]), set()
+    for moved, after in turns[1:]:
+        gap = {k for k, (fill, certain, _) in placed.items() if fill < 2048 and not certain}
+        every = {k for k, (fill, *_) in placed.items() if fill < 2048}
+        assert moved in (gap, every)
+        kinds.add(moved == gap)
+        if len({placed[k][2] for k in moved}) > len({x[2] for x in after.values()}):
+            placed |= after
+    lengths = [r["length"] for r in pack(table(spark, sf_dir, "documents"), queries.tokenizer_path()).collect() if r["length"] < 2048]
+    bound = bins_needed(np.bincount(lengths, minlength=2049))
+    assert True in kinds and (False in kinds or len({x[2] for x in placed.values()}) == bound)
+
+
 def test_packing_gives_added_tokens_their_id(spark):
     from tokenizers import Tokenizer
 
