@@ -15,8 +15,9 @@ from claimscope.llm.common import stored
 
 #: Fixed by the contract: what is stripped from both ends of a line, and the code points a key has at least.
 STRIPPED, LEAST = " \t\n\x0b\x0c\r", 10
-#: Postings that a task holds before it hands them on, and keys that a filter shard holds on average.
-BLOCK, SHARD_KEYS, LEAST_SHARDS = 200_000, 200_000, 64
+#: Postings that a task holds before it hands them on, keys that a filter shard holds on average, fewest shards, and
+#: partitions that the postings of a shard are dealt over, so that a line in every document is no task's alone.
+BLOCK, SHARD_KEYS, LEAST_SHARDS, SALTS = 200_000, 200_000, 64, 8
 SLOTS = 4
 _LAST = (1 << 63) - 1
 
@@ -24,7 +25,8 @@ _LAST = (1 << 63) - 1
 class CuckooFilter:
     """Approximate set of 64-bit keys: 16-bit fingerprints, four to a bucket, two buckets for each key.
 
-    Never denies a key it holds; affirms another with odds of about 1 in 8,000. ``add`` and ``remove`` take arrays.
+    Never denies a key it holds; affirms another with odds of about 1 in 8,000. ``add`` and ``remove`` take arrays; each
+    key added takes a slot, so two keys of one fingerprint can be removed one by one.
     """
 
     def __init__(self, buckets: int, slots: np.ndarray | None = None):
@@ -33,7 +35,7 @@ class CuckooFilter:
 
     @classmethod
     def holding(cls, keys: np.ndarray) -> CuckooFilter:
-        keys, buckets = np.unique(keys), 4
+        keys, buckets = np.asarray(keys), 4
         while buckets * SLOTS * 0.85 < len(keys):
             buckets *= 2
         while True:
@@ -107,118 +109,207 @@ def line_key(line: str) -> tuple[int, int] | None:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, k1, k2, doc) of arrays: what a task has met of each of the filters' shards."""
-    held: dict[str, list] = {"k1": [], "k2": [], "doc": []}
+    """Rows (k1, k2, doc, row) of arrays: the postings that a task has met, a bounded number to a row."""
+    names = ["k1", "k2", "doc", "row"]
+    held: list[tuple[int, int, int, int]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        k1, k2, doc = (np.array(held[k], np.int64) for k in ("k1", "k2", "doc"))
-        shard = k1 & (LEAST_SHARDS - 1)
-        order = np.argsort(shard, kind="stable")
-        k1, k2, doc, shard = k1[order], k2[order], doc[order], shard[order]
-        starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
-        ends = pa.array(np.r_[starts, len(shard)], pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(shard[starts])] + [
-            pa.ListArray.from_arrays(ends, pa.array(x)) for x in (k1, k2, doc)], ["slice", "k1", "k2", "doc"])
-        for x in held.values():
-            x.clear()
+        ends = pa.array([0, len(held)], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in zip(*held, strict=True)], names)
+        held.clear()
 
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             text = text.as_py()
             if not text:
                 continue
-            for k1, k2 in {line_key(x) for x in text.split("\n")} - {None}:
-                held["k1"].append(k1)
-                held["k2"].append(k2)
-                held["doc"].append(doc)
-            if len(held["k1"]) >= BLOCK:
+            held += [(*key, doc, row) for key in {line_key(x) for x in text.split("\n")} - {None}]
+            if len(held) >= BLOCK:
                 yield from flush()
-    if held["k1"]:
+    if held:
         yield from flush()
 
 
+def _filters_of(keys: DataFrame, shards: int) -> DataFrame:
+    """shard, ``filter`` of its distinct keys (k1, k2)."""
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"shard": [key[0]], "filter": [CuckooFilter.holding(rows["k1"].to_numpy()).to_bytes()]})
+
+    return keys.select("k1", F.pmod("k1", F.lit(shards)).alias("shard")).groupBy("shard").applyInPandas(build, "shard long, filter binary")
+
+
+def _sifted(blocks: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """at, k1, k2, doc, row of the postings in ``blocks`` that the filter of their shard affirms.
+
+    Blocks are cut by shard, and each part goes where a copy of its filter goes, behind it: a task holds one filter and
+    one Arrow batch. The parts of a shard are dealt over ``SALTS`` partitions.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                at = batch.column(0)[n].as_py()
+                cols = [batch.column(i)[n].values.to_numpy() for i in range(1, 5)]
+                shard = cols[0] & (shards - 1)
+                order = np.argsort(shard, kind="stable")
+                shard = shard[order]
+                starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+                ends = pa.array(np.r_[starts, len(shard)], pa.int32())
+                salt = (cols[2][order][starts] ^ cols[3][order][starts]) % SALTS  # of the part's first document
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard[starts]), pa.array(salt), pa.array([at] * len(starts), pa.int32())] + [
+                        pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in cols], ["shard", "salt", "at", "k1", "k2", "doc", "row"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, None
+        for batch in batches:
+            for n in range(batch.num_rows):
+                data = batch.column(7)[n]
+                shard = batch.column(0)[n].as_py()
+                if data.is_valid:
+                    here, held = shard, CuckooFilter.from_bytes(data.as_py())
+                elif shard == here:
+                    cols = [batch.column(i)[n].values.to_numpy() for i in range(3, 7)]
+                    found = np.flatnonzero(held.has(cols[0]))
+                    if len(found):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([batch.column(2)[n].as_py()] * len(found), pa.int32())] + [pa.array(x[found]) for x in cols],
+                            ["at", "k1", "k2", "doc", "row"])
+
+    lists = ", ".join(f"{c} array<long>" for c in ("k1", "k2", "doc", "row"))
+    parts = blocks.select("at", "k1", "k2", "doc", "row").mapInArrow(cut, f"shard long, salt long, at int, {lists}")
+    copies = filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("salt", F.col("salt").cast("long"))
+    both = parts.unionByName(copies, allowMissingColumns=True).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("filter").isNull())
+    return both.mapInArrow(probe, "at int, k1 long, k2 long, doc long, row long")
+
+
 def _identity(id_col: str):
     """Documents without an id count as one document, after all others."""
     return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST))
 
 
+def _counted(postings: DataFrame) -> DataFrame:
+    """k1, k2, ``refs`` (documents that hold the key), ``keeper`` (the smallest of them). Pairs are made distinct
+    first and counted then, both combined before their shuffle, so a key in every document meets no single task."""
+    return postings.select("k1", "k2", "doc").distinct().groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("refs"), F.min("doc").alias("keeper"))
+
+
 class LineIndex:
-    """Which lines are held by which documents, and which of them are shared.
+    """Which lines are held by which documents, and which of them are shared, as tables that changes add to.
+
+    * ``blocks``: the exact postings (key, document, hash of the row's text) of each insertion, numbered ``at``;
+    * ``removed``: documents deleted, with the number of the deletion: postings of lower numbers no longer count;
+    * the reference counts of shared keys, a base and, for each change, the keys whose count or keeper it moved;
+    * a cuckoo filter of the shared keys of each shard, of which a change writes those shards whose keys came or went.
 
-    ``postings`` is the exact table: (slice, k1, k2, doc), a row for every distinct key of every document, kept in
-    blocks of arrays. Counts come from it, so ``insert`` and ``delete`` are exact and undo each other. ``filters`` are
-    built over shared keys, one per shard, and only spare the exact join the lines that cannot be shared.
+    ``insert`` and ``delete`` return a new index and leave the old one usable. Both read the postings once, past filters of
+    the keys they touch; only postings of touched keys are shuffled and counted, and what is written follows the change.
+    A key whose count goes from 1 to 2 is added to its filter, one that goes from 2 to 1 is removed. ``fold`` writes one base.
     """
 
-    def __init__(self, blocks: DataFrame):
-        self.blocks = blocks
-        self._shared: DataFrame | None = None
+    def __init__(self, blocks: DataFrame, removed: DataFrame | None = None, at: int = 0, counts: DataFrame | None = None,
+                 changes: DataFrame | None = None, filters: DataFrame | None = None, shards: int = 0):
+        self.blocks, self.removed, self.at = blocks, removed, at
+        self.changes, self._counts, self._filters, self._n_shards = changes, counts, filters, shards
 
     @classmethod
-    def of(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
-        rows = docs.select(_identity(id_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
-        return cls(stored(rows.mapInArrow(_blocks, "slice long, k1 array<long>, k2 array<long>, doc array<long>"), "line-blocks"))
+    def of(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at: int = 0) -> LineIndex:
+        text = F.col(f"`{text_col}`")
+        rows = docs.select(_identity(id_col).alias("doc"), F.xxhash64(text).alias("row"), text.alias("text"))
+        found = rows.mapInArrow(_blocks, "k1 array<long>, k2 array<long>, doc array<long>, row array<long>")
+        return cls(stored(found.withColumn("at", F.lit(at)), "line-blocks"), at=at)
+
+    def _live(self, postings: DataFrame) -> DataFrame:
+        if self.removed is None:
+            return postings
+        last = self.removed.groupBy("doc").agg(F.max("at").alias("_gone"))
+        return postings.join(last, "doc", "left").where("_gone IS NULL OR _gone < at").drop("_gone")
 
     def postings(self) -> DataFrame:
-        return self.blocks.select(F.inline(F.arrays_zip("k1", "k2", "doc")))
-
-    def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
-        return LineIndex(self.blocks.unionByName(LineIndex.of(docs, id_col, text_col).blocks))
-
-    def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
-        """The index without the documents named; lines they kept go to the next holder."""
-        left = self.blocks.select("slice", F.inline(F.arrays_zip("k1", "k2", "doc"))).join(
-            ids.select(_identity(id_col).alias("doc")).distinct(), "doc", "left_anti")
-        parts = 1 + left.count() // (LEAST_SHARDS * BLOCK)
-        packed = left.groupBy("slice", F.pmod(F.xxhash64("doc", "k1"), F.lit(parts)).alias("_part")).agg(
-            F.collect_list("k1").alias("k1"), F.collect_list("k2").alias("k2"), F.collect_list("doc").alias("doc"))
-        return LineIndex(stored(packed.drop("_part"), "line-blocks"))
+        return self._live(self.blocks.select("at", F.inline(F.arrays_zip("k1", "k2", "doc", "row"))))
 
     def reference_counts(self) -> DataFrame:
-        """k1, k2, ``refs`` (documents that hold the key), ``keeper`` (the smallest of them). Pairs are made distinct
-        first and counted then, both combined before their shuffle, so a key in every document meets no single task."""
-        return self.postings().distinct().groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("refs"), F.min("doc").alias("keeper"))
+        """The counts of all keys, from the postings."""
+        return _counted(self.postings())
 
     def shared(self) -> DataFrame:
-        if self._shared is None:
-            self._shared = stored(self.reference_counts().where("refs > 1"), "line-shared")
-        return self._shared
+        """k1, k2, refs, keeper of the keys that several documents hold: the base under the last change of each key."""
+        if self._counts is None:
+            self._counts = stored(self.reference_counts().where("refs > 1"), "line-shared")
+        if self.changes is None:
+            return self._counts
+        last = self.changes.join(self.changes.groupBy("k1", "k2").agg(F.max("at").alias("at")), ["k1", "k2", "at"])
+        return self._counts.join(last, ["k1", "k2"], "left_anti").unionByName(last.where("refs > 1").select("k1", "k2", "refs", "keeper"))
+
+    def shards(self) -> int:
+        """Number of filter shards, a power of two that follows the shared keys of the base."""
+        if not self._n_shards:
+            self._n_shards, n = LEAST_SHARDS, self.shared().count()
+            while self._n_shards * SHARD_KEYS < n:
+                self._n_shards *= 2
+        return self._n_shards
 
     def filters(self) -> DataFrame:
-        """shard, ``filter`` of its shared keys. The number of shards is a multiple of the blocks' slices and follows the keys."""
-        shards = self._shards()
+        """shard, ``filter`` of its shared keys."""
+        if self._filters is None:
+            self._filters = stored(_filters_of(self.shared(), self.shards()), "line-filters")
+        return self._filters
 
-        def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            held = CuckooFilter.holding(rows["k1"].to_numpy().astype(np.uint64))
-            return pd.DataFrame({"shard": [key[0]], "filter": [held.to_bytes()]})
-
-        keys = self.shared().select("k1", F.pmod("k1", F.lit(shards)).alias("shard"))
-        return keys.groupBy("shard").applyInPandas(build, "shard long, filter binary")
+    def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
+        """The index with ``docs`` too. Lines of an id that it holds already are added to that document's."""
+        added = LineIndex.of(docs, id_col, text_col, self.at + 1)
+        return self._changed(self.blocks.unionByName(added.blocks), self.removed, added.postings().select("k1", "k2").distinct())
 
-    def _shards(self) -> int:
-        shards = LEAST_SHARDS
-        while shards * SHARD_KEYS < self.shared().count():
-            shards *= 2
-        return shards
+    def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
+        """The index without the documents named; lines they kept go to the next holder. Ids it doesn't hold change nothing."""
+        gone = stored(ids.select(_identity(id_col).alias("doc")).distinct().withColumn("at", F.lit(self.at + 1)), "line-removed")
+        removed = gone if self.removed is None else self.removed.unionByName(gone)
+        held = self.postings().join(gone.select("doc"), "doc", "left_semi").select("k1", "k2").distinct()
+        return self._changed(self.blocks, removed, held.join(self.shared(), ["k1", "k2"], "left_semi"))
+
+    def _changed(self, blocks: DataFrame, removed: DataFrame | None, touched: DataFrame) -> LineIndex:
+        shards, at, both = self.shards(), self.at + 1, ["k1", "k2"]
+        old, touched = self.filters(), stored(touched, "line-touched")
+        after = LineIndex(blocks, removed, at, self._counts, shards=shards)
+        now = _counted(after._live(_sifted(blocks, _filters_of(touched, shards), shards)).join(touched, both, "left_semi"))
+        was = self.shared().join(touched, both, "left_semi").select(*both, F.col("refs").alias("_refs"), F.col("keeper").alias("_keeper"))
+        moved = now.join(was, both, "full").withColumn("refs", F.coalesce("refs", F.lit(0)))
+        moved = moved.where("(refs > 1 OR _refs IS NOT NULL) AND NOT (refs <=> _refs AND keeper <=> _keeper)")
+        moved = stored(moved.select(*both, "refs", "keeper", F.col("_refs").isNotNull().alias("was"), F.lit(at).alias("at")), "line-changes")
+        after.changes = moved if self.changes is None else self.changes.unionByName(moved)
+
+        def turn(key: tuple, keys: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+            k1, come = keys["k1"].to_numpy(), keys["come"].to_numpy(bool)
+            if len(known):
+                held = CuckooFilter.from_bytes(known["filter"].iloc[0])
+                held.remove(k1[~come])
+                whole = held.add(k1[come])
+            else:
+                held, whole = CuckooFilter.holding(k1[come]), True
+            return pd.DataFrame({"shard": [key[0]], "filter": [held.to_bytes() if whole else None]})
+
+        turned = moved.where("(refs > 1) <> was").select("k1", (F.col("refs") > 1).alias("come"), F.pmod("k1", F.lit(shards)).alias("shard"))
+        met = old.join(turned.select("shard").distinct(), "shard", "left_semi")
+        fresh = stored(turned.groupBy("shard").cogroup(met.groupBy("shard")).applyInPandas(turn, "shard long, filter binary"), "line-filters")
+        full = fresh.where("filter IS NULL").select("shard")  # no room left: these are built from their keys
+        if not full.isEmpty():
+            keys = after.shared().join(full, F.pmod("k1", F.lit(shards)) == F.col("shard"), "left_semi")
+            fresh = fresh.where("filter IS NOT NULL").unionByName(stored(_filters_of(keys, shards), "line-filters"))
+        after._filters = old.join(fresh.select("shard"), "shard", "left_anti").unionByName(fresh)
+        return after
+
+    def fold(self) -> LineIndex:
+        """The same index as one base: postings of deleted documents go, and shards follow the keys anew."""
+        postings = stored(self.postings().select("k1", "k2", "doc", "row").distinct(), "line-postings")
+        parts = 1 + postings.count() // BLOCK
+        packed = postings.groupBy(F.pmod(F.xxhash64("doc", "row", "k1"), F.lit(parts))).agg(
+            *[F.collect_list(c).alias(c) for c in ("k1", "k2", "doc", "row")]).select("k1", "k2", "doc", "row")
+        counts = stored(self.shared(), "line-shared")
+        return LineIndex(stored(packed.withColumn("at", F.lit(self.at)), "line-blocks"), at=self.at, counts=counts)
 
     def surplus(self) -> DataFrame:
-        """doc, k1, k2 of every line key that its document has to give up."""
-        shards = self._shards()
-
-        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    held = CuckooFilter.from_bytes(batch.column(4)[row].as_py())
-                    k1, k2, doc, shard = (batch.column(i)[row].values.to_numpy() if i < 3 else batch.column(i)[row].as_py() for i in range(4))
-                    found = np.flatnonzero(((k1 & (shards - 1)) == shard))
-                    found = found[held.has(k1[found])]
-                    if len(found):
-                        yield pa.RecordBatch.from_arrays([pa.array(x[found]) for x in (k1, k2, doc)], ["k1", "k2", "doc"])
-
-        filters = self.filters().withColumn("slice", F.pmod("shard", F.lit(LEAST_SHARDS)))
-        met = self.blocks.join(filters, "slice").select("k1", "k2", "doc", "shard", "filter")
-        hits = met.mapInArrow(probe, "k1 long, k2 long, doc long")
-        return hits.join(self.shared().select("k1", "k2", "keeper"), ["k1", "k2"]).where("doc <> keeper").select("doc", "k1", "k2")
+        """doc, row (hash of the text), k1, k2 of every line key that its document has to give up."""
+        hits = self._live(_sifted(self.blocks, self.filters(), self.shards()))
+        return hits.join(self.shared().select("k1", "k2", "keeper"), ["k1", "k2"]).where("doc <> keeper").select("doc", "row", "k1", "k2")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,16 +318,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A line's key is the line stripped of white space at both ends with A-Z in lower case. Keys of at least 10 code
     points that several documents hold stay in the smallest id only, there with all their lines. Null and empty texts
     are one empty line. Rows without an id count as one document, last in order; rows that repeat an id are one
-    document too. Columns ``n_lines`` and ``n_dropped`` of the input are replaced; any other column is handed through.
+    document too; lists of lines to drop are kept by row, so no array holds those of several rows. Long texts are read
+    whole, one at a time. An empty table gives an empty result. Columns ``n_lines`` and ``n_dropped`` of the input are replaced; any other column is handed through.
     """
     surplus = LineIndex.of(docs, id_col, text_col).surplus()
-    gone = surplus.groupBy("doc").agg(F.collect_list("k1").alias("_gone"))
+    gone = surplus.groupBy("doc", "row").agg(F.collect_set("k1").alias("_gone"))
     kept = docs.drop("n_lines", "n_dropped")
     names = kept.columns
     at = names.index(text_col)
     rows = kept.toDF(*[f"c{i}" for i in range(len(names))])  # no name of the input can meet one of the join
-    rows = rows.withColumn("_key", _identity(f"c{names.index(id_col)}"))
-    rows = rows.join(gone, F.col("_key") == F.col("doc"), "left").drop("_key", "doc")
+    rows = rows.withColumn("_key", _identity(f"c{names.index(id_col)}")).withColumn("_row", F.xxhash64(f"c{at}"))
+    rows = rows.join(gone, (F.col("_key") == F.col("doc")) & (F.col("_row") == F.col("row")), "left").drop("_key", "_row", "doc", "row")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

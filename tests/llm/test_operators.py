@@ -14,7 +14,7 @@ import brute
 from claimscope.llm import packing, queries
 from claimscope.llm.common import components, running_totals, table
 from claimscope.llm.exact_dedup import exact_dedup
-from claimscope.llm.line_dedup import LineIndex, dedup_lines
+from claimscope.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines
 from claimscope.llm.mixing import mix, source_targets
 from claimscope.llm.near_dedup import near_dedup
 from claimscope.llm.packing import bins_needed, pack
@@ -249,6 +249,45 @@ def test_lines_come_back_when_their_keeper_goes(spark):
     assert without.delete(docs.where("doc_id = 2")).surplus().count() == 0
 
 
+def index_state(index):
+    """Shared keys, surplus, and whether each shared key is in its filter and how many keys the filters hold."""
+    shared = rows_of(index.shared(), "k1", "k2", "refs", "keeper")
+    filters = {r["shard"]: CuckooFilter.from_bytes(r["filter"]) for r in index.filters().collect()}
+    assert all(filters[k1 % index.shards()].has(np.array([k1])).all() for k1, *_ in shared)
+    assert sum(int((f.slots > 0).sum()) for f in filters.values()) == len(shared)
+    assert shared == rows_of(index.reference_counts().where("refs > 1"), "k1", "k2", "refs", "keeper")
+    return shared, rows_of(index.surplus(), "doc", "row", "k1", "k2")
+
+
+def test_line_index_changes_equal_a_new_index(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    late, gone = docs.where("doc_id % 100 = 3"), docs.where("doc_id % 100 = 0")
+    whole = LineIndex.of(docs)
+    grown = LineIndex.of(docs.where("doc_id % 100 <> 3")).insert(late)
+    assert index_state(grown) == index_state(whole)
+    less = grown.delete(gone)
+    assert index_state(less) == index_state(LineIndex.of(docs.where("doc_id % 100 <> 0")))
+    assert index_state(less.insert(gone)) == index_state(whole)
+    assert index_state(less.fold()) == index_state(less)
+    held = LineIndex.of(gone).reference_counts().count()
+    assert less.changes.where(f"at = {less.at}").count() <= held  # what is written follows the change
+
+
+def test_lines_of_many_rows_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "this line is shared by all")] + [(None, f"this line is shared by all\nand line {i} is its own") for i in range(400)],
+                                 "doc_id long, text string")
+    assert rows_of(dedup_lines(docs).where("doc_id IS NULL"), "text", "n_dropped") == sorted([(f"and line {i} is its own", 1) for i in range(400)], key=repr)
+    per_row = LineIndex.of(docs).surplus().groupBy("doc", "row").count()
+    assert per_row.agg(F.max("count")).first()[0] == 1 and per_row.count() == 400
+
+
+def test_line_index_of_nothing(none, odd):
+    index = LineIndex.of(none)
+    assert index.surplus().count() == 0 and index.delete(odd).surplus().count() == 0
+    assert index_state(index.insert(odd)) == index_state(LineIndex.of(odd))
+    assert index_state(LineIndex.of(odd).delete(odd))[0] == []
+
+
 # packing
 def check_packing(rows, docs, encode):
     by_doc: dict = {}
