@@ -25,25 +25,27 @@ def exact_ks_pvalue(d: float, m: int, n: int) -> float:
     """Chance that two samples of one continuous distribution, of sizes ``m`` and ``n``, differ by ``d`` or more.
 
     All orders of the pooled sample are equally likely: they are the lattice paths from (0, 0) to (m, n), and the statistic is the
-    farthest a path gets from the diagonal. Chances are carried along the diagonals of the lattice; what steps on or over the bound
-    leaves and is added up, so a small result keeps its digits. Time grows with m * n, memory with m.
+    farthest a path gets from the diagonal. Chances are carried from one antidiagonal to the next, inside the band around the
+    diagonal that the bound leaves; what steps out of it is added up, so a small result keeps its digits. Time grows with
+    (m + n) times the width of the band, d m n / (m + n), memory with that width.
     """
     bound = round(d * m * n)  # the statistic is a whole number of 1 / (m n)
     if bound <= 0:
         return 1.0
-    i = np.arange(m + 1)
-    inside, gone = np.zeros(m + 1), 0.0
-    inside[0] = 1.0
+    low, inside, gone = 0, np.ones(1), 0.0  # chances of the points (low, s - low), (low + 1, s - low - 1), ...
     for s in range(1, m + n + 1):
-        j = s - i
+        i = np.arange(low, low + len(inside))
         left = m + n - s + 1
-        now = inside * (n - j + 1) / left  # from (i, j - 1)
-        now[1:] += (inside * (m - i) / left)[:-1]  # from (i - 1, j)
-        now[(j < 0) | (j > n)] = 0.0
-        out = np.abs(i * n - j * m) >= bound
-        gone += float(now[out].sum())
-        now[out] = 0.0
-        inside = now
+        now = np.zeros(len(inside) + 1)
+        now[:-1] = inside * ((n - s + 1 + i) / left)  # on to (i, j + 1)
+        now[1:] += inside * ((m - i) / left)  # on to (i + 1, j)
+        first = (s * m - bound) // (m + n) + 1  # the band: |i n - j m| < bound
+        last = -((-s * m - bound) // (m + n)) - 1
+        a, b = max(first - low, 0), min(last - low + 1, len(now))
+        if a >= b:
+            return min(gone + float(now.sum()), 1.0)
+        gone += float(now[:a].sum() + now[b:].sum())
+        inside, low = now[a:b], low + a
     return min(gone, 1.0)
 
 

@@ -16,6 +16,10 @@ _TEXT = [c for c, t in _TYPES.items() if isinstance(t, StringType) and c != "pol
 _PROFILED_TEXT = [f.name for f in CLEAN_SCHEMA if isinstance(f.dataType, StringType) and f.name != "policy_number"]
 
 
+#: SQL has the asymptotic p-value only, so the queries count exactly up to this size, which none of their tables falls below.
+ASYMPTOTIC = 200
+
+
 def sides(spark, sf_dir):
     return relation(spark, sf_dir, "drift_ref"), relation(spark, sf_dir, "drift_new")
 
@@ -82,7 +86,7 @@ define("ks_values", """SELECT feature, d AS ks_statistic, CASE WHEN z < 0.2 THEN
 
 @query("drift_ks", f"SELECT feature, {rounded('ks_statistic', 8)} AS ks_statistic, {rounded('ks_pvalue', 6)} AS ks_pvalue FROM ks_values", ["ks_values"])
 def drift_ks(spark, sf_dir):
-    return drift.ks(*sides(spark, sf_dir)).select("feature", *r2(["ks_statistic"], 8), *r2(["ks_pvalue"], 6))
+    return drift.ks(*sides(spark, sf_dir), exact_below=ASYMPTOTIC).select("feature", *r2(["ks_statistic"], 8), *r2(["ks_pvalue"], 6))
 
 
 def _shares(c: str) -> str:
@@ -121,7 +125,7 @@ define("drift_features", """SELECT p.feature, psi, ks_statistic, ks_pvalue, NULL
 @query("drift_numeric_flag", f"""SELECT feature, {rounded('psi', 6)} AS psi, {rounded('ks_pvalue', 6)} AS ks_pvalue, drifted FROM drift_features
   WHERE psi IS NOT NULL AND drifted = 1""", ["drift_features"])
 def drift_numeric_flag(spark, sf_dir):
-    return drift.feature_drift(*sides(spark, sf_dir), text=False).filter("drifted = 1").select(
+    return drift.feature_drift(*sides(spark, sf_dir), text=False, exact_below=ASYMPTOTIC).filter("drifted = 1").select(
         "feature", *r2(["psi", "ks_pvalue"], 6), "drifted")
 
 
@@ -140,7 +144,7 @@ define("drift_total", f"""SELECT drifted_features, overall_drift, {_SEVERITY.for
 
 @query("drift_overall", f"SELECT drifted_features, {rounded('overall_drift', 6)} AS overall_drift, severity FROM drift_total", ["drift_total"])
 def drift_overall(spark, sf_dir):
-    return drift.overall(drift.feature_drift(*sides(spark, sf_dir))).select("drifted_features", *r2(["overall_drift"], 6), "severity")
+    return drift.overall(drift.feature_drift(*sides(spark, sf_dir), exact_below=ASYMPTOTIC)).select("drifted_features", *r2(["overall_drift"], 6), "severity")
 
 
 _CUT = "TIMESTAMP '1998-07-01 00:00:00'"
@@ -197,4 +201,4 @@ def drift_report(spark, sf_dir):
   THEN 1 ELSE 0 END AS action_required FROM (SELECT severity AS data_severity, (SELECT {_DETECTED} FROM prediction_drift) AS prediction_drift FROM drift_total)""",
        ["drift_total", "prediction_drift"])
 def drift_action(spark, sf_dir):
-    return drift.action(drift.overall(drift.feature_drift(*sides(spark, sf_dir))), _prediction(spark, sf_dir))
+    return drift.action(drift.overall(drift.feature_drift(*sides(spark, sf_dir), exact_below=ASYMPTOTIC)), _prediction(spark, sf_dir))

@@ -6,6 +6,7 @@ import os
 import time
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from claimscope.functions.columns import col
 from claimscope.operators import key_filter, quality
 from claimscope.operators.clean import fit_medians, transform_claims
 from claimscope.operators.relational import skip_processed
-from claimscope.session import cut_lineage
+from claimscope.session import cut_lineage, scratch
 from claimscope.sources import files
 
 RUN_SCHEMA = (
@@ -26,6 +27,15 @@ RUN_SCHEMA = (
 CONTROL_SCHEMA = "last_run timestamp, last_row_count bigint, last_checksum string"
 
 
+def _tidy(job: Callable[..., dict]) -> Callable[..., dict]:
+    """The job, whose stored steps go when it ends; what it leaves lies in the paths it is given."""
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs) -> dict:
+        with scratch(spark, job.__name__):
+            return job(spark, *args, **kwargs)
+    return run
+
+
 def record_run(spark: SparkSession, log_path: str, record: Mapping) -> None:
     """Put one run into the run log; a run that is recorded again, as after a repetition, replaces what it left before."""
     files.replace_json(spark.createDataFrame([dict(record)], RUN_SCHEMA), log_path, ["run_id"])
@@ -39,6 +49,7 @@ def quality_score(rows_in: int, rows_out: int) -> float:
     return round(rows_out * 100 / rows_in, 1) if rows_in > 0 else 0.0
 
 
+@_tidy
 def run_load(
     spark: SparkSession, raw_path: str, clean_path: str, table: str, log_path: str, run_id: str,
     mode: str = "full", validate: bool = True, table_path: str | None = None, escaped: bool = False, multi_line: bool = False,
@@ -133,6 +144,7 @@ def _load_new(raw: DataFrame, table_path: str, keys_path: str, load: str, median
     return loaded
 
 
+@_tidy
 def run_incremental(
     spark: SparkSession, raw: DataFrame, table_path: str, control_path: str, keys_path: str,
     medians: Mapping[str, float | None], at: Column | None = None, key: str = "policy_number",
@@ -205,6 +217,7 @@ def compare_files(listing: DataFrame, known: DataFrame) -> DataFrame:
     return listing.join(then, "path", "full_outer").withColumn("state", state).drop("_length", "_modified")
 
 
+@_tidy
 def run_files(
     spark: SparkSession, folder: str, read: Callable[[SparkSession, list[str]], DataFrame], table_path: str, control_path: str, keys_path: str,
     medians: Mapping[str, float | None], at: Column | None = None, key: str = "policy_number", pattern: str = "*.parquet",

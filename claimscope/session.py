@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +47,31 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return os.path.join(shared_root(spark), "claimscope", f"{name}-{uuid.uuid4().hex}")
+def fresh_dir(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A path in the shared folder that no other run uses; inside ``scratch`` a path in its folder, unless it is to be kept."""
+    return os.path.join((not keep and _scratch.get()) or os.path.join(shared_root(spark), "claimscope"), f"{name}-{uuid.uuid4().hex}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is kept; one that isn't there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "steps") -> Iterator[None]:
+    """Steps that the block stores are deleted at its end, or when it fails. Frames that read them end with it, so the block
+    writes its result to a path taken before. Threads that the block starts keep to the shared folder itself."""
+    folder = fresh_dir(spark, name)
+    before = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(before)
+        delete(spark, folder)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

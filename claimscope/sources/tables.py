@@ -34,7 +34,7 @@ def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], obj
     """A folder that ``build`` has filled, once per application and state of the input folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name, folder_state(spark, sf_dir))
     if key not in _staged:
-        path = fresh_dir(spark, name)
+        path = fresh_dir(spark, name, keep=True)
         build(path)
         _staged[key] = path
     return _staged[key]

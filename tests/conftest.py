@@ -21,6 +21,27 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def plans_since(spark):
+    """A function that gives the physical plans run since its last call, those of eager steps and writes among them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    last = [-1]
+
+    def plans() -> list[str]:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        runs, n = [], store.executionsList()
+        for i in range(n.size() - 1, -1, -1):
+            run = n.apply(i)
+            if run.executionId() <= last[0]:
+                break
+            runs.append((run.executionId(), run.physicalPlanDescription()))
+        last[0] = max([last[0], *[i for i, _ in runs]])
+        return [text for _, text in reversed(runs)]
+
+    plans()
+    return plans
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return os.path.join(os.environ.get("TESTDATA", "/root/testdata"), "sf0.001")

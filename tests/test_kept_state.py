@@ -230,3 +230,23 @@ def test_a_failed_load_leaves_the_table(spark, tmp_path):
     for n in (7, 8, 9):
         assert files.replace_table(spark.table(table).limit(2).unionByName(spark.range(n - 2)), table, str(tmp_path), numeric=[]) == n
     assert spark.table(table).count() == 9 and len(files.names(spark, str(tmp_path))) <= 3
+
+
+def test_steps_of_a_job_go_with_it(spark, tmp_path):
+    import glob
+
+    from claimscope.session import cut_lineage, fresh_dir, scratch, shared_root
+
+    before = set(glob.glob(f"{shared_root(spark)}/claimscope/*"))
+    path = str(tmp_path / "result")
+    with scratch(spark, "job"):
+        step = cut_lineage(spark.range(100), "step")
+        with scratch(spark, "inner"):
+            cut_lineage(step, "below")
+        kept = fresh_dir(spark, "kept", keep=True)
+        step.filter("id >= 40").write.parquet(path)
+    with pytest.raises(ValueError), scratch(spark, "broken"):
+        cut_lineage(spark.range(1), "step")
+        raise ValueError
+    assert spark.read.parquet(path).count() == 60 and "/job-" not in kept
+    assert set(glob.glob(f"{shared_root(spark)}/claimscope/*")) == before

@@ -198,6 +198,24 @@ def test_small_ensemble_trains_stores_and_scores(spark, sf_dir, tmp_path):
         model.load(spark, os.path.join(str(tmp_path), "absent"))
 
 
+def test_importance_and_auc_follow_the_labels(spark, sf_dir):
+    """A planted column ranks first; labels that follow no column separate nothing; labels that follow one do."""
+    rows = claims(spark, sf_dir)
+    chance = F.pmod(F.xxhash64("policy_number", F.lit("label")), F.lit(4)) == 0
+    chosen = {"forest": {"numTrees": 10, "maxDepth": 4, "seed": 42, "featureSubsetStrategy": "all"}}
+    blind = rows.withColumn("is_fraud", chance.cast("int"))
+    planted = blind.withColumn("planted", F.when(chance, 5.0).otherwise(1.0) + F.pmod(F.xxhash64("policy_number"), F.lit(3)))
+    auc = {name: model.summarise_folds(model.cross_validate(df, chosen, folds=3)).first()["mean_auc"] for name, df in (("blind", blind), ("planted", planted))}
+    assert 0.35 < auc["blind"] < 0.65 and auc["planted"] > 0.99
+    fit, held_out = model.train(planted, chosen)
+    top = model.top_importance(spark, fit, 3).orderBy("rank").collect()
+    assert top[0]["feature"] == "planted" and top[0]["importance"] > 0.9 > 0.1 > top[1]["importance"]
+    assert evaluate.model_metrics(held_out, len(fit.features)).first()["auc_score"] > 0.99
+    fit, held_out = model.train(blind, chosen)
+    gate = evaluate.gate(evaluate.model_metrics(held_out, len(fit.features))).first()
+    assert gate["auc_score"] < 0.7 and not gate["passed"]
+
+
 def upper_tail(x: float, df: int) -> float:
     """Of the chi-square distribution with an even number of degrees: a sum of Poisson weights, taken from their greatest."""
     mean, a = x / 2, df // 2
@@ -297,6 +315,32 @@ def test_exact_ks_pvalue_counts_paths():
             assert abs(exact_ks_pvalue(h / (m * n), m, n) - sum(f >= h for f in far) / len(far)) < 1e-12
 
 
+def far_paths(h: int, n: int) -> float:
+    """Of two samples of ``n`` each: share of the orders that differ by ``h`` of n or more, by reflection, in whole numbers."""
+    ways, k, out = math.comb(2 * n, n), 1, 0
+    while n - k * h >= 0:
+        out += (2 if k % 2 else -2) * math.comb(2 * n, n - k * h)
+        k += 1
+    return out / ways
+
+
+@pytest.mark.parametrize(("h", "n"), [(1, 1), (20, 200), (5, 150), (150, 200), (192, 10_000), (500, 10_000)])
+def test_exact_ks_pvalue_of_equal_sizes(h, n):
+    assert exact_ks_pvalue(h / n, n, n) == pytest.approx(far_paths(h, n), rel=1e-9)
+
+
+def test_exact_ks_pvalue_of_other_sizes():
+    from fractions import Fraction
+
+    m, n, bound = 60, 45, round(0.25 * 60 * 45)
+    ways = {(0, 0): 1}
+    for s in range(1, m + n + 1):
+        ways = {(i, s - i): ways.get((i - 1, s - i), 0) + ways.get((i, s - i - 1), 0) for i in range(max(0, s - n), min(m, s) + 1)
+                if abs(i * n - (s - i) * m) < bound}
+    want = 1 - Fraction(ways[m, n], math.comb(m + n, m))
+    assert exact_ks_pvalue(0.25, m, n) == pytest.approx(float(want), rel=1e-9)
+
+
 def test_ks_is_exact_for_small_samples_only(spark):
     ref, new = spark.range(150).select(F.col("id").cast("double").alias("x")), spark.range(120).select((F.col("id") + 20).cast("double").alias("x"))
     exact, rough = (drift.ks(ref, new, exclude=(), exact_below=limit).first() for limit in (150, 149))
