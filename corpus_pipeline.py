@@ -17,6 +17,7 @@ from claimscope.llm.near_dedup import near_dedup
 from claimscope.llm.packing import pack
 from claimscope.llm.queries import tokenizer_path
 from claimscope.llm.toxicity import learn, score_toxicity
+from claimscope.session import delete, fresh_dir, scratch
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -96,7 +97,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage stores on its way goes when its rows are written, and those of the stage
+    before go with it, so the shared folder holds two stages at most; an executor lost meanwhile costs the running stage's tasks only."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_dir(spark, f"pipeline-{name}")
+        with scratch(spark, f"pipeline-{name}-steps"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
