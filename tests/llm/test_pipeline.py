@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 
 import brute
@@ -9,6 +10,7 @@ import corpus_pipeline as pipeline
 from claimscope.llm import queries
 from claimscope.llm.common import table
 from claimscope.llm.mixing import mix
+from claimscope.session import shared_root
 
 
 def pairs(df):
@@ -94,7 +96,11 @@ def test_the_whole_run(spark, sf_dir):
 
     t = Tokenizer.from_file(queries.tokenizer_path())
     tokens = {i: len(t.encode(lined[i], add_special_tokens=False).ids) + 1 for i in copies}
+    folder = f"{shared_root(spark)}/claimscope"
+    held = set(os.listdir(folder))
     rows = pipeline.run(spark, sf_dir).collect()
+    (left_over,) = set(os.listdir(folder)) - held
+    assert left_over.startswith("pipeline-packing-")
     found: Counter = Counter()
     for r in rows:
         found[r["doc_id"]] += r["length"]
