@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from claimscope.plans.catalog import QUERIES
 
@@ -46,3 +47,11 @@ def test_top_k_is_not_a_full_sort(spark, sf_dir):
 def test_last_write_wins_without_sorting_rows(spark, sf_dir):
     text = plan(QUERIES["fs_upsert"](spark, sf_dir))
     assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_plans_of_eager_steps_are_seen(spark, tmp_path, plans_since):
+    spark.range(3).select(F.udf(str)("id").alias("x")).write.parquet(str(tmp_path / "out"))
+    spark.range(1).collect()
+    seen = plans_since()
+    assert any("EvalPython" in p for p in seen) and "EvalPython" not in seen[-1]
+    assert plans_since() == []
