@@ -32,6 +32,13 @@ def columns_of(plans, node):
     return [int(n) for p in plans for n in re.findall(rf"\) {node}\s*\n(?:Output.*\n)?Input \[(\d+)\]", p)]
 
 
+def test_stored_tables_shuffle_narrow_rows_only(spark, tables, plans_since):
+    rows = claims(spark, tables)
+    dealt = [int(n) for p in plans_since() for n in re.findall(r"\) Exchange\s*\nInput \[(\d+)\]: .*\nArguments: RoundRobin", p)]
+    assert dealt and max(dealt) == 4, dealt  # the orders' columns that claims are made of
+    assert rows.count() == ROWS and len(raw_claims(spark, tables).inputFiles()) >= spark.sparkContext.defaultParallelism
+
+
 def test_stream_keys_that_share_a_group(spark, tmp_path):
     schema = "policy_number string, n int"
     for batch, rows in enumerate([[("a", 1), ("b", 2), ("a", 3), (None, 4)], [("c", 5), ("a", 6), (None, 7), ("c", 8)], [("b", 9), ("d", 10), ("c", 11)]]):
