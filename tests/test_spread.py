@@ -39,6 +39,13 @@ def test_stored_tables_shuffle_narrow_rows_only(spark, tables, plans_since):
     assert rows.count() == ROWS and len(raw_claims(spark, tables).inputFiles()) >= spark.sparkContext.defaultParallelism
 
 
+def test_fingerprint_of_another_order_in_portions(spark, tables, plans_since):
+    claims(spark, tables)
+    plans_since()
+    assert [tuple(r) for r in QUERIES["change_fingerprint"](spark, tables).collect()] == [(ROWS, 1, 1)]
+    assert not any("REPARTITION_BY_NUM" in p for p in plans_since())  # a fixed number of tasks for any number of rows
+
+
 def test_stream_keys_that_share_a_group(spark, tmp_path):
     schema = "policy_number string, n int"
     for batch, rows in enumerate([[("a", 1), ("b", 2), ("a", 3), (None, 4)], [("c", 5), ("a", 6), (None, 7), ("c", 8)], [("b", 9), ("d", 10), ("c", 11)]]):
