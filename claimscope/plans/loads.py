@@ -280,11 +280,11 @@ def incremental_files(spark, sf_dir):
 @query("change_files", """SELECT h % 4 AS part, count(*) AS row_count, CASE WHEN h % 4 = 0 THEN 'same' ELSE 'open' END AS state,
   CASE WHEN h % 4 IN (2, 3) THEN 1 ELSE 0 END AS different FROM (SELECT auto_year AS h FROM claims_raw) GROUP BY h % 4""", ["claims_raw"])
 def change_files(spark, sf_dir):
-    """Four files of claims by year: one stays, one is written again as it was, one with other values, and one is new."""
+    """Files of claims in four folders by year: one stays, one is written again as it was, one with other values, and one is new."""
     root, rows = fresh_dir(spark, "files"), raw(spark, sf_dir).withColumn("part", F.col("auto_year") % 4)
 
     def write(part, df):
-        df.filter(F.col("part") == part).coalesce(1).write.mode("overwrite").parquet(f"{root}/in/part={part}")
+        df.filter(F.col("part") == part).write.mode("overwrite").parquet(f"{root}/in/part={part}")
 
     for part in (0, 1, 2):
         write(part, rows)

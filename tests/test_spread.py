@@ -46,6 +46,15 @@ def test_fingerprint_of_another_order_in_portions(spark, tables, plans_since):
     assert not any("REPARTITION_BY_NUM" in p for p in plans_since())  # a fixed number of tasks for any number of rows
 
 
+def test_change_files_are_written_by_many_tasks(spark, tables, plans_since):
+    claims(spark, tables)
+    plans_since()
+    rows = QUERIES["change_files"](spark, tables).collect()
+    assert max(columns_of(plans_since(), "Coalesce"), default=0) < 20
+    assert sorted((r["part"], r["state"], r["different"]) for r in rows) == [(0, "same", 0), (1, "open", 0), (2, "open", 1), (3, "open", 1)]
+    assert sum(r["row_count"] for r in rows) == ROWS
+
+
 def test_stream_keys_that_share_a_group(spark, tmp_path):
     schema = "policy_number string, n int"
     for batch, rows in enumerate([[("a", 1), ("b", 2), ("a", 3), (None, 4)], [("c", 5), ("a", 6), (None, 7), ("c", 8)], [("b", 9), ("d", 10), ("c", 11)]]):
