@@ -265,16 +265,17 @@ def _read_raw(spark, paths):
 
 @query("incremental_files", f"SELECT {_CLEAN_LIST}, {_AT} AS processed_at, 1 AS second_opened FROM loaded", ["loaded"])
 def incremental_files(spark, sf_dir):
-    """The same from a folder: a file of the early claims, then one of all; the second load opens the second file only."""
+    """The same from a folder: files of the early claims, then files of all; the second load opens the later files only."""
     root = fresh_dir(spark, "folder")
     rows, early, medians = _arrivals(spark, sf_dir)
-    opened = []
+    opened, written = [], []
     for name, source in (("a", early), ("b", rows), ("c", None)):
         if source is not None:
-            source.coalesce(1).write.parquet(f"{root}/in/{name}")
+            source.write.parquet(f"{root}/in/{name}")
+        written.append(len(files.names(spark, f"{root}/in/{name}")))
         run = jobs.run_files(spark, f"{root}/in", _read_raw, f"{root}/table", f"{root}/control", f"{root}/keys", medians, at())
         opened.append(run["files_opened"])
-    return spark.read.parquet(f"{root}/table").drop("load").withColumn("second_opened", F.lit(int(opened == [1, 1, 0])))
+    return spark.read.parquet(f"{root}/table").drop("load").withColumn("second_opened", F.lit(int(opened == written)))
 
 
 @query("change_files", """SELECT h % 4 AS part, count(*) AS row_count, CASE WHEN h % 4 = 0 THEN 'same' ELSE 'open' END AS state,

@@ -55,6 +55,14 @@ def test_change_files_are_written_by_many_tasks(spark, tables, plans_since):
     assert sum(r["row_count"] for r in rows) == ROWS
 
 
+def test_incremental_files_are_written_by_many_tasks(spark, tables, plans_since):
+    claims(spark, tables)
+    plans_since()
+    rows = QUERIES["incremental_files"](spark, tables).select("policy_number", "second_opened").collect()
+    assert max(columns_of(plans_since(), "Coalesce"), default=0) < 20
+    assert {r["second_opened"] for r in rows} == {1} and len({r["policy_number"] for r in rows}) >= ROWS - 5
+
+
 def test_stream_keys_that_share_a_group(spark, tmp_path):
     schema = "policy_number string, n int"
     for batch, rows in enumerate([[("a", 1), ("b", 2), ("a", 3), (None, 4)], [("c", 5), ("a", 6), (None, 7), ("c", 8)], [("b", 9), ("d", 10), ("c", 11)]]):
