@@ -351,3 +351,17 @@ def test_ks_is_exact_for_small_samples_only(spark):
 def test_mart_average_is_not_rounded(spark):
     df = spark.createDataFrame([(0.00004,), (0.00004,), (None,)], "x double")
     assert df.agg(rates.exact_mean("x")).first()[0] == 0.00004
+
+
+def test_samples_are_balanced_in_one_pass(spark, monkeypatch):
+    """The weight of label 1 in each sample, from rows of the other parts; every sample's from the same counts."""
+    rows = spark.createDataFrame([(0, 0)] * 6 + [(0, 1)] * 3 + [(1, 0)] * 4 + [(2, 1), (2, None), (None, 0)], "part int, label int")
+    seen = {}
+    monkeypatch.setattr(model.boosting, "binned", lambda rows: (spark.sparkContext.emptyRDD(), []))
+    monkeypatch.setattr(model.boosting, "fit_boosters", lambda rows, wanted, table: seen.update(wanted) or {})
+    spark.sparkContext.setJobGroup("balance", "")
+    assert model.fit_many(rows, [0, 1, 2, model.NO_PART], {"booster_a": {}}) == {}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    factor = model.WEIGHT_FACTORS["booster_a"]
+    assert [seen[k, "booster_a"][2] / factor for k in (0, 1, 2, model.NO_PART)] == pytest.approx([4.0, 1.5, 10 / 3, 2.5])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("balance")) <= 2
