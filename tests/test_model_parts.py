@@ -8,8 +8,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from claimscope import session
 from claimscope.functions.special import chi_square_pvalue, exact_ks_pvalue, kolmogorov_pvalue
 from claimscope.operators import drift, evaluate, feature_table, features, model, rates, runlog, sampling
+from claimscope.sources import tables
 from claimscope.sources.tables import claims
 
 LOW_RISK = (24, 35, 1200.0, 5000.0, 2, 0)
@@ -365,3 +367,37 @@ def test_samples_are_balanced_in_one_pass(spark, monkeypatch):
     factor = model.WEIGHT_FACTORS["booster_a"]
     assert [seen[k, "booster_a"][2] / factor for k in (0, 1, 2, model.NO_PART)] == pytest.approx([4.0, 1.5, 10 / 3, 2.5])
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("balance")) <= 2
+
+
+def test_passes_of_training_read_stored_splits(spark, monkeypatch):
+    """Whether a row is held out, and its fold, are stored beside its vector: no later pass hashes keys again."""
+    seen = []
+    rows = [(f"P{i}", float(i % 7), "ab"[i % 2], i % 3 == 0) for i in range(60)]
+    claims = spark.createDataFrame(rows, f"{model.KEY} string, total_claim_amount double, incident_severity string, y boolean")
+    claims = claims.withColumn(model.LABEL, F.col("y").cast("int")).drop("y")
+
+    def taken(rows, *_):
+        seen.append(rows)
+        raise StopIteration
+
+    monkeypatch.setattr(model, "fit_many", taken)
+    for fit in (model.train, model.cross_validate):
+        with pytest.raises(StopIteration):
+            fit(claims)
+    train, folds = seen
+    assert all("md5" not in r._jdf.queryExecution().toString() for r in seen)
+    whole = evaluate.stratified_split(claims.withColumnRenamed(model.LABEL, "label"), "label", model.KEY, 0.2, 42).filter("is_test = 0")
+    want = {r[0]: r["fold"] for r in evaluate.stratified_folds(whole, "label", model.KEY, 5, 43).collect()}
+    assert {r[model.KEY]: r["fold"] for r in folds.collect()} == want and {r[model.KEY] for r in train.collect()} == set(want)
+
+
+def test_wide_plans_keep_to_compiled_methods(spark, tmp_path):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), session.compiled(spark):
+        assert spark.conf.get(name) == "8000"
+        raise ValueError
+    assert spark.conf.get(name) == before
+    during = []
+    tables.once(spark, str(tmp_path), "x", lambda path: during.append(spark.conf.get(name)))
+    assert during == ["8000"]
